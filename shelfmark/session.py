@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def get_spark(app_name: str = "shelfmark", master: str | None = None, **conf: str) -> SparkSession:
@@ -75,6 +78,23 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, as ``--py-files`` would.
+
+    Called by the operators that run Python in tasks; once per application.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="shelfmark-")) / "shelfmark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(home.rglob("*.py")):
+            out.write(source, source.relative_to(home.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 @contextmanager
 def arrow_batch_rows(spark: SparkSession, rows: int):
     """Cap Arrow batches for the actions run inside the block, then restore.
