@@ -41,6 +41,7 @@ def assign_ids(
     counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = materialize(offsets, "id-offsets")
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     numbered = numbered.select((F.lit(above + 1) + F.col("_before") + row).alias(id_col), *columns)
