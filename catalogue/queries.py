@@ -72,8 +72,10 @@ def _chat_questions(spark: SparkSession, sf: str) -> DataFrame:
 
 def _chunk_index(spark: SparkSession, sf: str) -> tuple[DataFrame, HashEmbedder]:
     """Chunks with ids, pdf_name, content and fitted vectors, each computed once."""
-    chunks = chunk_text(_documents(spark, sf), "doc_id")
-    numbered = assign_ids(chunks, ["doc_id", "chunk_no"])
+    # Sorting the documents rather than the chunks: chunking keeps the order, and the
+    # range partitioner does not run it a second time to sample it.
+    docs = _documents(spark, sf).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    numbered = assign_ids(chunk_text(docs, "doc_id"))
     chunks = materialize(
         numbered.select("id", F.concat(F.lit("doc-"), "doc_id").alias("pdf_name"), "content"), "chunks"
     )
@@ -177,7 +179,7 @@ def embed_hash_by_join(spark: SparkSession, sf: str) -> DataFrame:
     """The way of a vocabulary too large to broadcast, taken on purpose."""
     docs = _documents(spark, sf)
     embedder = HashEmbedder.fit(docs, "text", SMALL_DIM)
-    return _long(embedder.transform(docs, "text", key="doc_id", broadcast_terms=0, hot_keys=200), "doc_id")
+    return _long(embedder.transform(docs, "text", key="doc_id", broadcast_terms=0, hot_keys=200, small_facts=0), "doc_id")
 
 
 def embed_plain(spark: SparkSession, sf: str) -> DataFrame:

@@ -76,7 +76,7 @@ def build_ann(
     wanted = TRAINING_ROWS_PER_LIST * n_lists
     if n_rows > 2 * wanted:
         training = training.sample(fraction=wanted / n_rows, seed=seed)
-    model = KMeans(k=n_lists, seed=seed, featuresCol="_features", predictionCol="list_id").fit(training)
+    model = KMeans(k=n_lists, maxIter=10, seed=seed, featuresCol="_features", predictionCol="list_id").fit(training)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     spark.createDataFrame(centers, "list_id bigint, centroid array<float>").write.parquet(f"{path}/centroids")
     assigned = model.transform(placed).drop("_features")

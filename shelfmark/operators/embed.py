@@ -17,13 +17,16 @@ from shelfmark.functions.common import as_list, unnest
 from shelfmark.functions.text import term_counts, term_sign, term_slot, terms
 from shelfmark.functions.vectors import unit_vector
 from shelfmark.operators.corpus import CorpusStats, fit_corpus
-from shelfmark.operators.lookup import HOT_KEYS, keyed_lookup
+from shelfmark.operators.lookup import HOT_KEYS, SMALL_FACTS, keyed_lookup
 from shelfmark.session import ship_package
 
 # Largest vocabulary that is broadcast: its rows and bytes are known from the fit.
 BROADCAST_TERMS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 
+MAX_SHARED = 8
+_shared: dict = {}
+
 # The default vector length, and the most texts sent in one request.
 DEFAULT_DIM = 1024
 REQUEST_TEXTS = 150
@@ -60,6 +63,7 @@ class HashEmbedder:
         key: str | list[str] | None = None,
         broadcast_terms: int = BROADCAST_TERMS,
         hot_keys: int = HOT_KEYS,
+        small_facts: int = SMALL_FACTS,
     ) -> DataFrame:
         """``df`` with the vector column ``out``.
 
@@ -73,15 +77,12 @@ class HashEmbedder:
             return self._transform_in_place(df, text_col, out)
         if key is None:
             raise ValueError("the vocabulary is too large to broadcast: name the key columns of the input")
-        return self._transform_by_join(df, text_col, out, as_list(key), hot_keys)
+        return self._transform_by_join(df, text_col, out, as_list(key), hot_keys, small_facts)
 
     def _transform_in_place(self, df: DataFrame, text_col: str, out: str) -> DataFrame:
         spark, dim = df.sparkSession, self.dim
         ship_package(spark)
-        table = self.stats.signed_terms(spark, dim).select("term", "slot", "weight").toArrow()
-        shared = spark.sparkContext.broadcast(
-            (table["term"].combine_chunks(), table["slot"].to_numpy(), table["weight"].to_numpy())
-        )
+        shared = _shared_terms(spark, self.stats, dim)
 
         @F.arrow_udf("array<float>")
         def embed(found: pa.Array) -> pa.Array:
@@ -90,13 +91,13 @@ class HashEmbedder:
 
         return df.withColumn(out, embed(terms(F.col(text_col))))
 
-    def _transform_by_join(self, df, text_col, out, key, hot_keys) -> DataFrame:
+    def _transform_by_join(self, df, text_col, out, key, hot_keys, small_facts) -> DataFrame:
         spark = df.sparkSession
         entries = df.select(*key, term_counts(F.col(text_col)).alias("_e"))
         postings = unnest(entries, key, "_e")
         counts = postings.groupBy("term").agg(F.count("*").alias("n"))
         signed = self.stats.signed_terms(spark, self.dim).select("term", "slot", "weight")
-        weighted = keyed_lookup(postings, signed, "term", counts, hot_keys)
+        weighted = keyed_lookup(postings, signed, "term", counts, hot_keys, small_facts)
         value = (1 + F.log(F.col("tf"))) * F.col("weight")
         # One group is one text, so what is collected is bounded by that text.
         vectors = weighted.groupBy(*key).agg(
@@ -106,6 +107,19 @@ class HashEmbedder:
         return df.join(vectors, key, "left")
 
 
+def _shared_terms(spark, stats: CorpusStats, dim: int):
+    """The broadcast vocabulary, kept for the next use of the same embedder."""
+    name = (spark.sparkContext.applicationId, stats.path, stats.fingerprint, dim)
+    if name not in _shared:
+        table = stats.signed_terms(spark, dim).select("term", "slot", "weight").toArrow()
+        _shared[name] = spark.sparkContext.broadcast(
+            (table["term"].combine_chunks(), table["slot"].to_numpy(), table["weight"].to_numpy())
+        )
+        while len(_shared) > MAX_SHARED:
+            _shared.pop(next(iter(_shared)))
+    return _shared[name]
+
+
 def _plain_entries(text, dim: int):
     return F.transform(
         term_counts(text),

@@ -20,7 +20,8 @@ def assign_ids(
     """Fill missing ids with consecutive numbers; ids that the writer gave are kept.
 
     Numbers start above both ``above`` and the largest given id. With ``order_by``
-    they follow that order (range partitions, then offsets); without, no shuffle at all.
+    they follow that order (range partitions, then offsets; the input runs twice, once
+    for the partitioner's sample); without, they follow the input's, and nothing is shuffled.
 
     The rows are written once together with their partition and position, because
     those could shift if the plan ran again; the offsets table has one row per

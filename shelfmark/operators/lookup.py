@@ -12,6 +12,9 @@ from shelfmark.session import materialize
 # HOT_KEYS hot keys whatever the data: that is the bound of the broadcast.
 HOT_KEYS = 10_000
 
+# Facts within this many rows are broadcast themselves, and the keyed table only scanned.
+SMALL_FACTS = 1_000_000
+
 
 def keyed_lookup(
     facts: DataFrame,
@@ -19,6 +22,7 @@ def keyed_lookup(
     key: str | list[str],
     counts: DataFrame,
     hot_keys: int = HOT_KEYS,
+    small_facts: int = SMALL_FACTS,
 ) -> DataFrame:
     """Inner join of ``facts`` to ``keyed`` (unique on ``key``), safe under skew.
 
@@ -30,6 +34,8 @@ def keyed_lookup(
     key = as_list(key)
     counts = materialize(counts, "key-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
+    if total <= small_facts:
+        return keyed.join(F.broadcast(facts), key)
     hot = counts.where(F.col("n") > total / hot_keys).select(*key)
     hot_rows = materialize(keyed.join(F.broadcast(hot), key, "left_semi"), "hot-keys")
     warm = facts.join(F.broadcast(hot_rows), key)
