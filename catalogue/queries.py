@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.functions.common import unnest
 from shelfmark.functions.text import clean_lines
 from shelfmark.functions.vectors import to_cells
 from shelfmark.operators.ann import build_ann, search_ann
@@ -97,8 +98,8 @@ def _fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
 
 def _long(df: DataFrame, key: str, digits: int = 5) -> DataFrame:
     """Vectors as rows of non-zero cells."""
-    cells = df.select(key, F.explode(to_cells(F.col("embedding"))).alias("c"))
-    cells = cells.select(key, F.col("c.slot").cast("bigint").alias("slot"), F.round("c.v", digits).alias("value"))
+    cells = unnest(df.select(key, to_cells(F.col("embedding")).alias("c")), [key], "c")
+    cells = cells.select(key, F.col("slot").cast("bigint").alias("slot"), F.round("v", digits).alias("value"))
     return cells.where(F.abs("value") > 0.5 * 10.0**-digits)
 
 

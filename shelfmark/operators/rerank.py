@@ -7,12 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.functions.common import unnest
-from shelfmark.functions.text import term_counts, terms, tokens
+from shelfmark.functions.common import let, unnest
+from shelfmark.functions.text import term_counts, tokens
 from shelfmark.operators.corpus import CorpusStats
 from shelfmark.operators.lookup import keyed_lookup
 from shelfmark.operators.topk import SCORE_DIGITS
@@ -37,21 +37,17 @@ class Bm25Scorer:
         """``pairs`` with ``score``; 0 for a pair that shares no known term."""
         asked = self._question_terms(questions, question_col)
         paired = pairs.join(asked, "query_id", "left")
-        # Only the counts of the question's own terms are kept of each passage.
-        own = F.filter(
-            term_counts(F.col(text_col)),
-            lambda e: F.array_contains(F.map_keys("_idf"), e["term"]),
-        )
-        length = F.size(terms(F.col(text_col)))
-        damp = self.k1 * (1 - self.b + self.b * length / self.stats.mean_length)
-        paired = paired.withColumn("_damp", damp).withColumn("_own", own)
-        total = F.aggregate(
-            "_own",
-            F.lit(0.0),
-            lambda acc, e: acc
-            + F.element_at("_idf", e["term"]) * e["tf"] * (self.k1 + 1) / (e["tf"] + F.col("_damp")),
-        )
-        return paired.withColumn("score", F.coalesce(total, F.lit(0.0))).drop("_idf", "_damp", "_own")
+
+        def pair_score(entries: Column) -> Column:
+            length = F.aggregate(entries, F.lit(0), lambda acc, e: acc + e["tf"])
+            own = F.filter(entries, lambda e: F.array_contains(F.map_keys("_idf"), e["term"]))
+            damp = self.k1 * (1 - self.b + self.b * length / self.stats.mean_length)
+            gain = lambda e, d: F.element_at("_idf", e["term"]) * e["tf"] * (self.k1 + 1) / (e["tf"] + d)
+            return let(damp, lambda d: F.aggregate(own, F.lit(0.0), lambda acc, e: acc + gain(e, d)))
+
+        # Bound once per pair: a plain column would be folded into the lambda and run per term.
+        score = let(term_counts(F.col(text_col)), pair_score)
+        return paired.withColumn("score", F.coalesce(score, F.lit(0.0))).drop("_idf")
 
     def _question_terms(self, questions: DataFrame, question_col: str) -> DataFrame:
         """``(query_id, _idf map<term, idf>)`` over the known distinct terms."""

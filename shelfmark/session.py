@@ -96,18 +96,23 @@ def ship_package(spark: SparkSession) -> None:
 
 
 @contextmanager
-def arrow_batch_rows(spark: SparkSession, rows: int):
-    """Cap Arrow batches for the actions run inside the block, then restore.
-
-    Use around the stage that moves whole files; a cap left on for the session would
-    also cut the batches of the embedding model.
-    """
-    before = spark.conf.get(_ARROW_ROWS, None)
-    spark.conf.set(_ARROW_ROWS, str(rows))
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for the actions run inside the block, then as it was before."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_ARROW_ROWS)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(_ARROW_ROWS, before)
+            spark.conf.set(name, before)
+
+
+def arrow_batch_rows(spark: SparkSession, rows: int):
+    """Cap Arrow batches inside the block.
+
+    Use around the stage that moves whole files; a cap left on for the session would
+    also cut the batches of the embedding model.
+    """
+    return setting(spark, _ARROW_ROWS, str(rows))

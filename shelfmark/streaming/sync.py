@@ -21,7 +21,7 @@ def latest_per_key(rows: DataFrame, key: list[str], version_col: str | None) ->
     return newest.select(*key, "_row.*").select(*rows.columns)
 
 
-def _run(stream: DataFrame, checkpoint: str, batch) -> int:
+def _run(stream: DataFrame, checkpoint: str, table: str, batch) -> int:
     """Run one triggered sync to its end; the number of batches that held data."""
     taken = []
 
@@ -38,6 +38,10 @@ def _run(stream: DataFrame, checkpoint: str, batch) -> int:
         .start()
     )
     query.awaitTermination()
+    # Batches run in a session of their own; this one may remember the table's old files.
+    spark = stream.sparkSession
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
     return len(taken)
 
 
@@ -65,7 +69,7 @@ def sync_stream(
         create_index(rows, index, key, vector_col, dim, None, n_buckets, path)
         upsert_index(latest_per_key(rows, as_list(key), version_col), index)
 
-    return _run(stream, checkpoint, batch)
+    return _run(stream, checkpoint, index, batch)
 
 
 def ingest_stream(
@@ -80,4 +84,4 @@ def ingest_stream(
 ) -> int:
     """Bring new files of ``source_dir`` into the embedding table; returns the batches run."""
     stream = stream_files(spark, source_dir, glob)
-    return _run(stream, checkpoint, lambda rows: ingest_files(rows, table, embedder, extractor, **options))
+    return _run(stream, checkpoint, table, lambda rows: ingest_files(rows, table, embedder, extractor, **options))
