@@ -11,6 +11,7 @@ from shelfmark.operators.validate import validate_vectors
 from shelfmark.session import materialize
 from shelfmark.sources.keyed import (
     apply_to_table,
+    buckets_for,
     create_keyed_table,
     table_keys,
     table_property,
@@ -31,10 +32,17 @@ def create_index(
     vector_col: str = "embedding",
     dim: int = 1024,
     embedder_id: str | None = None,
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
     path: str | None = None,
 ) -> bool:
-    """Create an empty index with the columns of ``df``; False when it exists."""
+    """Create an empty index with the columns of ``df``; False when it exists.
+
+    The number of buckets follows the rows of ``df`` unless given.
+    """
+    if index_exists(df.sparkSession, index):
+        return False
+    if n_buckets is None:
+        n_buckets = buckets_for(df.count(), 4 * dim + 4_000)
     properties = {"vector_col": vector_col, "dim": str(dim)}
     if embedder_id is not None:
         properties["embedder_id"] = embedder_id
@@ -65,7 +73,7 @@ def create_or_sync_index(
     vector_col: str = "embedding",
     dim: int = 1024,
     embedder_id: str | None = None,
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
     path: str | None = None,
 ) -> dict[str, int]:
     """Create the index from ``source`` if absent, else apply what has changed since.
@@ -87,7 +95,7 @@ def create_or_sync_text_index(
     key: str = "id",
     text_col: str = "content",
     vector_col: str = "embedding",
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
     path: str | None = None,
 ) -> dict[str, int]:
     """As above for a source without vectors: the sync embeds the rows that changed, once."""

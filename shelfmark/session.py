@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()
+_written: dict[str, list[str]] = {}
 
 
 def get_spark(app_name: str = "shelfmark", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,7 +52,22 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared scratch folder."""
-    return f"{scratch_dir(spark)}/shelfmark/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/shelfmark/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application; the number of paths deleted.
+
+    For the end of a job: DataFrames that read them can no longer be used.
+    """
+    sc = spark.sparkContext
+    deleted = 0
+    for path in _written.pop(sc.applicationId, []):
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        deleted += target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+    return deleted
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

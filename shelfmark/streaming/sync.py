@@ -55,7 +55,7 @@ def sync_stream(
     vector_col: str = "embedding",
     dim: int = 1024,
     version_col: str | None = None,
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
     path: str | None = None,
 ) -> int:
     """Bring new Parquet files of ``source_dir`` into the index; returns the batches run.

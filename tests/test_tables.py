@@ -151,3 +151,19 @@ def test_sync_stream(spark, table, folder):
 def test_namespace(spark):
     use_namespace(spark, "spark_catalog", "default")
     assert spark.catalog.currentDatabase() == "default"
+
+
+def test_bucket_count_follows_the_size():
+    from shelfmark.sources.keyed import MAX_BUCKETS, MIN_BUCKETS, buckets_for
+
+    assert buckets_for(1_000, 4_096) == MIN_BUCKETS
+    assert buckets_for(1 << 20, 4_096 * 32) == 128
+    assert buckets_for(10**12, 4_096) == MAX_BUCKETS
+
+
+def test_writing_some_buckets_spares_the_others(spark, table):
+    name, path = table("spared")
+    create_or_sync_index(vectors(spark, [(i, [1.0, float(i)]) for i in range(200)]), name, dim=2, n_buckets=32, path=path)
+    assert upsert_index(vectors(spark, [(7, [9.0, 9.0])]), name) == {"insert": 0, "update": 1, "delete": 0}
+    assert index_rows(spark, name).count() == 200
+    assert index_rows(spark, name).where("embedding[0] = 9").count() == 1
