@@ -1 +1 @@
-"""See the package README."""
+"""Whole jobs made of operators: ingest, index maintenance, retrieval."""

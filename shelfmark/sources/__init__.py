@@ -1 +1 @@
-"""See the package README."""
+"""Files and named tables, read and written."""

@@ -1 +1 @@
-"""See the package README."""
+"""Triggered streams that keep tables and indexes in step with new files."""
