@@ -180,7 +180,7 @@ def embed_hash_by_join(spark: SparkSession, sf: str) -> DataFrame:
     """The way of a vocabulary too large to broadcast, taken on purpose."""
     docs = _documents(spark, sf)
     embedder = HashEmbedder.fit(docs, "text", SMALL_DIM)
-    return _long(embedder.transform(docs, "text", key="doc_id", broadcast_terms=0, hot_keys=200, small_facts=0), "doc_id")
+    return _long(embedder.transform(docs, "text", key="doc_id", broadcast_terms=0, hot_keys=200, broadcast_facts=0), "doc_id")
 
 
 def embed_plain(spark: SparkSession, sf: str) -> DataFrame:

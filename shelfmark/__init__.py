@@ -23,7 +23,7 @@ from shelfmark.plans.index import (
 )
 from shelfmark.plans.ingest import ingest_files
 from shelfmark.plans.retrieve import retrieve
-from shelfmark.session import arrow_batch_rows, drop_scratch, get_spark
+from shelfmark.session import arrow_batch_rows, drop_scratch, get_spark, tune_shuffle
 from shelfmark.sources.files import scan_files, stream_files
 from shelfmark.sources.tables import (
     append_embeddings,

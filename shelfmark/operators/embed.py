@@ -17,7 +17,7 @@ from shelfmark.functions.common import as_list, unnest
 from shelfmark.functions.text import term_counts, term_sign, term_slot, terms
 from shelfmark.functions.vectors import unit_vector
 from shelfmark.operators.corpus import CorpusStats, fit_corpus
-from shelfmark.operators.lookup import HOT_KEYS, SMALL_FACTS, keyed_lookup
+from shelfmark.operators.lookup import HOT_KEYS, NARROW_ROWS, keyed_lookup
 from shelfmark.session import ship_package
 
 # Largest vocabulary that is broadcast: its rows and bytes are known from the fit.
@@ -63,7 +63,7 @@ class HashEmbedder:
         key: str | list[str] | None = None,
         broadcast_terms: int = BROADCAST_TERMS,
         hot_keys: int = HOT_KEYS,
-        small_facts: int = SMALL_FACTS,
+        broadcast_facts: int = NARROW_ROWS,
     ) -> DataFrame:
         """``df`` with the vector column ``out``.
 
@@ -77,7 +77,7 @@ class HashEmbedder:
             return self._transform_in_place(df, text_col, out)
         if key is None:
             raise ValueError("the vocabulary is too large to broadcast: name the key columns of the input")
-        return self._transform_by_join(df, text_col, out, as_list(key), hot_keys, small_facts)
+        return self._transform_by_join(df, text_col, out, as_list(key), hot_keys, broadcast_facts)
 
     def _transform_in_place(self, df: DataFrame, text_col: str, out: str) -> DataFrame:
         spark, dim = df.sparkSession, self.dim
@@ -91,13 +91,13 @@ class HashEmbedder:
 
         return df.withColumn(out, embed(terms(F.col(text_col))))
 
-    def _transform_by_join(self, df, text_col, out, key, hot_keys, small_facts) -> DataFrame:
+    def _transform_by_join(self, df, text_col, out, key, hot_keys, broadcast_facts) -> DataFrame:
         spark = df.sparkSession
         entries = df.select(*key, term_counts(F.col(text_col)).alias("_e"))
         postings = unnest(entries, key, "_e")
         counts = postings.groupBy("term").agg(F.count("*").alias("n"))
         signed = self.stats.signed_terms(spark, self.dim).select("term", "slot", "weight")
-        weighted = keyed_lookup(postings, signed, "term", counts, hot_keys, small_facts)
+        weighted = keyed_lookup(postings, signed, "term", counts, hot_keys, broadcast_facts)
         value = (1 + F.log(F.col("tf"))) * F.col("weight")
         # One group is one text, so what is collected is bounded by that text.
         vectors = weighted.groupBy(*key).agg(

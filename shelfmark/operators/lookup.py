@@ -12,8 +12,8 @@ from shelfmark.session import materialize
 # HOT_KEYS hot keys whatever the data: that is the bound of the broadcast.
 HOT_KEYS = 10_000
 
-# Facts within this many rows are broadcast themselves, and the keyed table only scanned.
-SMALL_FACTS = 1_000_000
+# Rows of a narrow table (a key, a word, a number) that may be broadcast.
+NARROW_ROWS = 250_000
 
 
 def keyed_lookup(
@@ -22,7 +22,7 @@ def keyed_lookup(
     key: str | list[str],
     counts: DataFrame,
     hot_keys: int = HOT_KEYS,
-    small_facts: int = SMALL_FACTS,
+    broadcast_facts: int = 0,
 ) -> DataFrame:
     """Inner join of ``facts`` to ``keyed`` (unique on ``key``), safe under skew.
 
@@ -30,11 +30,14 @@ def keyed_lookup(
     the broadcast branch and are never shuffled; the others each hold less than
     ``1/hot_keys`` of the rows and take the shuffle branch. The counts are stored first:
     a broadcast that had to wait for them could run into its time limit.
+
+    A caller whose facts are narrow can allow that up to ``broadcast_facts`` rows of them
+    are broadcast instead; the keyed table is then only scanned.
     """
     key = as_list(key)
     counts = materialize(counts, "key-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    if total <= small_facts:
+    if total <= broadcast_facts:
         return keyed.join(F.broadcast(facts), key)
     hot = counts.where(F.col("n") > total / hot_keys).select(*key)
     hot_rows = materialize(keyed.join(F.broadcast(hot), key, "left_semi"), "hot-keys")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from shelfmark.functions.common import let, unnest
 from shelfmark.functions.text import term_counts, tokens
 from shelfmark.operators.corpus import CorpusStats
-from shelfmark.operators.lookup import keyed_lookup
+from shelfmark.operators.lookup import NARROW_ROWS, keyed_lookup
 from shelfmark.operators.topk import SCORE_DIGITS
 from shelfmark.session import ship_package
 
@@ -55,7 +55,7 @@ class Bm25Scorer:
         listed = questions.select("query_id", term_counts(F.col(question_col)).alias("_e"))
         rows = unnest(listed, ["query_id"], "_e").select("query_id", "term")
         counts = rows.groupBy("term").agg(F.count("*").alias("n"))
-        known = keyed_lookup(rows, self.stats.terms(spark).select("term", "idf"), "term", counts)
+        known = keyed_lookup(rows, self.stats.terms(spark).select("term", "idf"), "term", counts, broadcast_facts=NARROW_ROWS)
         # One group is one question, so the map is bounded by that question.
         entries = F.map_from_entries(F.collect_list(F.struct("term", "idf")))
         return known.groupBy("query_id").agg(entries.alias("_idf"))

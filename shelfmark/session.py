@@ -33,6 +33,18 @@ def get_spark(app_name: str = "shelfmark", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def tune_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions for jobs over this much data.
+
+    Adaptive execution merges partitions that turn out small, and cannot split those that
+    are too large for lack of partitions: so the number follows the input.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(cores, min(200_000, -(-input_bytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one ``spark.checkpoint.dir`` names.
 

@@ -37,7 +37,7 @@ def brute(texts, asked, dim):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_terms": 0}, {"broadcast_terms": 0, "hot_keys": 3, "small_facts": 0}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_terms": 0}, {"broadcast_terms": 0, "hot_keys": 3, "broadcast_facts": 0}])
 def test_fitted_vectors(spark, options):
     """Broadcast, small join and the split of hot and other terms all agree with the rule."""
     df = corpus(spark)
@@ -132,6 +132,14 @@ def test_lookup_with_a_hot_key(spark):
     facts = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 100) END AS k")
     keyed = facts.select("k").distinct().withColumn("v", F.length("k"))
     counts = facts.groupBy("k").agg(F.count("*").alias("n"))
-    joined = keyed_lookup(facts, keyed, "k", counts, hot_keys=10, small_facts=0)
+    joined = keyed_lookup(facts, keyed, "k", counts, hot_keys=10, broadcast_facts=0)
     assert joined.count() == 3000 and joined.where("v <> length(k)").count() == 0
     assert joined.select("id").distinct().count() == 3000
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    from shelfmark.session import setting, tune_shuffle
+
+    with setting(spark, "spark.sql.shuffle.partitions", "4"):
+        assert tune_shuffle(spark, 1 << 20) == spark.sparkContext.defaultParallelism
+        assert tune_shuffle(spark, 100 << 40) == 200_000
