@@ -49,13 +49,13 @@ chunks AS (SELECT {key}, k - 1 AS chunk_no, array_to_string(tok[b + 1 : body_end
 
 
 def stats_ctes(source: str, text: str) -> str:
-    """CTEs ``totals(n_docs, mean_length)`` and ``vocab(term, df, cf, idf)``."""
+    """CTEs ``totals(n_docs, mean_length)`` and ``vocab(term, df, idf)``."""
     return f"""
 c_term AS (SELECT row_number() OVER () AS r, {terms(text)} AS t FROM {source}),
 totals AS (SELECT count(*) AS n_docs, sum(len(t)) / count(*) AS mean_length FROM c_term),
-c_tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM c_term) GROUP BY r, term),
-vocab AS (SELECT term, df, cf, ln(1 + (n_docs - df + 0.5) / (df + 0.5)) AS idf
-          FROM (SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM c_tf GROUP BY term), totals)"""
+c_tf AS (SELECT DISTINCT r, term FROM (SELECT r, unnest(t) AS term FROM c_term)),
+vocab AS (SELECT term, df, ln(1 + (n_docs - df + 0.5) / (df + 0.5)) AS idf
+          FROM (SELECT term, count(*) AS df FROM c_tf GROUP BY term), totals)"""
 
 
 def cells_ctes(name: str, source: str, key: str, text: str, dim: int, fitted: bool = True) -> str:
@@ -176,7 +176,7 @@ CASE WHEN starts_with(text, 'That') THEN 'ValueError: unreadable' END AS error F
     "assign_ids": """WITH g AS (SELECT doc_id, CASE WHEN lang = 'de' THEN doc_id + 1000000 END AS id FROM documents)
 SELECT doc_id, id FROM g WHERE id IS NOT NULL UNION ALL
 SELECT doc_id, (SELECT max(id) FROM g) + row_number() OVER (ORDER BY doc_id) FROM g WHERE id IS NULL""",
-    "corpus_terms": f"WITH {stats_ctes('documents', 'text')} SELECT term, df, cf, round(idf, 6) AS idf FROM vocab",
+    "corpus_terms": f"WITH {stats_ctes('documents', 'text')} SELECT term, df, round(idf, 6) AS idf FROM vocab",
     "embed_hash": f"""WITH {stats_ctes('documents', 'text')}, {cells_ctes('cells', 'documents', 'doc_id', 'text', 1024)} {CELLS_OUT}""",
     "embed_hash_by_join": f"""WITH {stats_ctes('documents', 'text')}, {cells_ctes('cells', 'documents', 'doc_id', 'text', 256)} {CELLS_OUT}""",
     "embed_plain": f"""WITH {cells_ctes('cells', 'documents', 'doc_id', 'text', 256, fitted=False)} {CELLS_OUT}""",

@@ -361,7 +361,7 @@ def eval_hit_at_k(spark: SparkSession, sf: str) -> DataFrame:
 
 def corpus_terms(spark: SparkSession, sf: str) -> DataFrame:
     stats: CorpusStats = fit_corpus(_documents(spark, sf), "text")
-    return stats.terms(spark).select("term", "df", "cf", F.round("idf", 6).alias("idf"))
+    return stats.terms(spark).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 # ---------------------------------------------------------------- tables and syncs
