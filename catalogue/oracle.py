@@ -157,7 +157,7 @@ FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 VERSIONS = """
 old AS (SELECT doc_id, text, lang, source FROM documents WHERE lang <> 'es'),
-new AS (SELECT doc_id, CASE WHEN lang <> 'fr' THEN text WHEN length(text) > 300 THEN upper(text) END AS text, lang, source
+new AS (SELECT doc_id, CASE WHEN lang <> 'fr' THEN text WHEN length(text) > 300 THEN text || ' Revu.' END AS text, lang, source
         FROM documents WHERE lang <> 'de')"""
 
 CELLS_OUT = "SELECT doc_id, slot, round(v, 5) AS value FROM cells WHERE abs(round(v, 5)) > 0.000005"
@@ -194,7 +194,7 @@ WHEN 2 THEN 'all zero' WHEN 3 THEN 'not finite' END AS reason FROM embeddings"""
     "similarity_cells": topk("list_cosine_similarity", "DESC", extra=", label"),
     "similarity_ann_all_lists": topk("list_cosine_similarity", "DESC", extra=", label"),
     "rerank_bm25": f"""WITH {retrieval([DOCUMENT_ITEMS], BENCHMARK_QUESTIONS, 256, 20)}, {bm25_ctes()}
-SELECT query_id, rank, id, round(score, 4) AS score, first_rank FROM reranked""",
+SELECT query_id, rank, id, score, first_rank FROM reranked""",
     "rerank_model": f"""WITH {retrieval([DOCUMENT_ITEMS], BENCHMARK_QUESTIONS, 256, 5)},
 pq AS (SELECT query_id, id, {tokens('question')} AS q, {tokens('content')} AS tok
        FROM hits JOIN questions USING (query_id) JOIN items USING (id)),
@@ -208,7 +208,7 @@ p AS (SELECT id, tok, room, unnest(range(0, greatest(1, ceil(len(tok) / room))::
 SELECT id, part_no, array_to_string(tok[part_no * room + 1 : (part_no + 1) * room], ' ') AS part,
 least(room, len(tok) - part_no * room) AS n_tokens FROM p""",
     "retrieve_two_stage": f"""WITH {retrieval(CHUNKED, BENCHMARK_QUESTIONS, 1024, 5)}, {bm25_ctes()}
-SELECT query_id, rank, id, pdf_name, round(score, 4) AS score FROM reranked JOIN items USING (id) WHERE rank <= 3""",
+SELECT query_id, rank, id, pdf_name, score FROM reranked JOIN items USING (id) WHERE rank <= 3""",
     "to_passages": f"""WITH h AS ({topk('list_distance', 'ASC', 3, 'i.label = 3', ', label')})
 SELECT query_id, rank - 1 AS pos, 'file-' || id AS file, 'label ' || label AS text FROM h""",
     "build_prompts": f"""WITH {retrieval(CHUNKED, CHAT_QUESTIONS, 1024, 3)},

@@ -284,7 +284,7 @@ def rerank_bm25(spark: SparkSession, sf: str) -> DataFrame:
     hits = similarity_search(index, asked, 20, columns=["content"])
     ranked = rerank(hits, asked, Bm25Scorer(embedder.stats))
     return ranked.select(
-        "query_id", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 4).alias("score"),
+        "query_id", F.col("rank").cast("bigint").alias("rank"), "id", "score",
         F.col("first_rank").cast("bigint").alias("first_rank"),
     )
 
@@ -321,7 +321,7 @@ def retrieve_two_stage(spark: SparkSession, sf: str) -> DataFrame:
     index, embedder = _chunk_index(spark, sf)
     found = retrieve(index, _benchmark_questions(spark, sf), embedder, Bm25Scorer(embedder.stats))
     return found.select(
-        "query_id", F.col("rank").cast("bigint").alias("rank"), "id", "pdf_name", F.round("score", 4).alias("score")
+        "query_id", F.col("rank").cast("bigint").alias("rank"), "id", "pdf_name", "score"
     )
 
 
@@ -454,7 +454,7 @@ def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Spanish documents are new, German ones gone, French ones changed or emptied."""
     docs = _documents(spark, sf, "doc_id", "text", "lang", "source")
     old = docs.where("lang <> 'es'")
-    changed = F.when(F.col("lang") != "fr", F.col("text")).when(F.length("text") > 300, F.upper("text"))
+    changed = F.when(F.col("lang") != "fr", F.col("text")).when(F.length("text") > 300, F.concat("text", F.lit(" Revu.")))
     return old, docs.where("lang <> 'de'").withColumn("text", changed)
 
 

@@ -89,7 +89,7 @@ def clean_lines(text: Column, min_letters: float = 0.5) -> Column:
     squeezed = lambda line: F.regexp_replace(line, r"\s", "")
     letters = lambda line: F.regexp_replace(line, r"[^\p{L}]", "")
     kept = F.filter(
-        F.array_distinct(F.transform(F.split(text, "\r?\n"), F.trim)),
+        F.array_distinct(F.transform(F.split(text, "\r?\n"), lambda line: F.trim(line))),
         lambda line: (F.length(squeezed(line)) > 0)
         & (F.length(letters(line)) >= F.length(squeezed(line)) * F.lit(float(min_letters))),
     )

@@ -29,6 +29,7 @@ def test_html(spark):
 def test_clean_lines(spark):
     text = "Intro text\n1 ...... 3\n\nIntro text\nBody of it\n---"
     assert one(spark, text, clean_lines) == "Intro text\nBody of it"
+    assert one(spark, " 0 zero is kept\n 1 one is kept ", clean_lines) == "0 zero is kept\n1 one is kept"
 
 
 def test_join_pages_in_order(spark):
