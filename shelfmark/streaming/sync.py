@@ -62,6 +62,7 @@ def sync_stream(
 
     A batch that is repeated after a failure writes the same rows by key again, so the
     result is as if it had run once. Within one batch the highest version of a key wins.
+    The first batch creates the index: give ``n_buckets`` for the size it will grow to.
     """
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
