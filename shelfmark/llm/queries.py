@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from shelfmark.llm.op1_qda_quality import op1_qda_quality
 from shelfmark.llm.op8_crf_rules import op8_line_crf
 
 QUERIES = {
+    "op1_qda_quality": op1_qda_quality,
     "op8_line_crf": op8_line_crf,
 }
 
