@@ -6,8 +6,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from shelfmark.session import ship_package
+from shelfmark.session import scratch_path, ship_package
 
 #: Fixed mapping: A-Z to a-z, all other bytes as they are.
 LOWER_AZ = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -81,13 +83,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def per_batch(df: DataFrame, function, schema: str) -> DataFrame:
     """``function(RecordBatch) -> dict of columns``, Arrow batch by Arrow batch."""
     ship_package(df.sparkSession)
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
@@ -96,3 +99,11 @@ def per_batch(df: DataFrame, function, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared scratch folder, compressed with zstd, and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
