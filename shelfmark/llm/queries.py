@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from shelfmark.llm.op10_fm_index import op10_fm_index
 from shelfmark.llm.op1_qda_quality import op1_qda_quality
 from shelfmark.llm.op4_tensored_minhash import op4_tensored_minhash
 from shelfmark.llm.op5_sum_squares_packing import op5_sum_squares_packing
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_sum_squares_packing": op5_sum_squares_packing,
     "op7_huffman_files": op7_huffman_files,
     "op8_line_crf": op8_line_crf,
+    "op10_fm_index": op10_fm_index,
 }
 
 SQL: dict[str, str] = {}
