@@ -6,6 +6,7 @@ from shelfmark.llm.op10_fm_index import op10_fm_index
 from shelfmark.llm.op1_qda_quality import op1_qda_quality
 from shelfmark.llm.op4_tensored_minhash import op4_tensored_minhash
 from shelfmark.llm.op5_sum_squares_packing import op5_sum_squares_packing
+from shelfmark.llm.op6_katz_backoff import op6_katz_backoff
 from shelfmark.llm.op7_huffman_files import op7_huffman_files
 from shelfmark.llm.op8_crf_rules import op8_line_crf
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_qda_quality": op1_qda_quality,
     "op4_tensored_minhash": op4_tensored_minhash,
     "op5_sum_squares_packing": op5_sum_squares_packing,
+    "op6_katz_backoff": op6_katz_backoff,
     "op7_huffman_files": op7_huffman_files,
     "op8_line_crf": op8_line_crf,
     "op10_fm_index": op10_fm_index,
