@@ -14,11 +14,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.linestats import DIGIT, LETTER, NEWLINE, PUNCT, SPACE, STOP, SYMBOL, UPPER, LineStats, line_stats, repeated_window_words
 from shelfmark.llm.words import documents, per_batch
+from shelfmark.session import ship_package
 
 BOILERPLATE, CONTENT = 0, 1
 #: Bound of the labelled sample that the field is fitted on.
@@ -176,8 +178,28 @@ def fit_line_crf(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_T
     return LineCrf.fit(np.concatenate(parts).astype(np.float64), offsets, truth)
 
 
+def judge_texts(texts: list[str], crf: LineCrf | None, min_content: float) -> dict[str, np.ndarray]:
+    """Base rules and the verdict of the field for each text."""
+    stats = line_stats(texts)
+    n_words, repeated, _ = repeated_window_words(texts)
+    labels = np.full(len(stats.words), CONTENT) if crf is None else crf.decode(line_features(stats), stats.line_offsets)
+    share = stats.per_text(stats.words * (labels == CONTENT)) / np.maximum(1, n_words)
+    failed = (n_words < 10) | (100 * repeated > 20 * n_words)
+    chars = stats.classes.sum(1) - stats.classes[:, SPACE] - stats.classes[:, NEWLINE]
+    return {
+        "n_words": n_words,
+        "word_chars": stats.per_text(chars),
+        "n_symbols": stats.per_text(stats.classes[:, SYMBOL]),
+        "n_dup_lines": stats.per_text(stats.repeats.astype(np.int64)),
+        "n_repeat_words": repeated,
+        "base_failed": failed,
+        "kept": ~failed & (share >= min_content),
+        "content_share": share,
+    }
+
+
 def label_documents(docs: DataFrame, crf: LineCrf | None, min_content: float = 0.5) -> DataFrame:
-    """Base rules and the verdict of the field for every row of ``docs`` (doc_id, text).
+    """What the base rules and the field say of every row of ``docs`` (doc_id, text).
 
     Null and empty texts have no word and fail the base rules. Repeated rows are judged each
     on its own; all columns other than doc_id and text are ignored. ``content_share`` is the
@@ -185,33 +207,26 @@ def label_documents(docs: DataFrame, crf: LineCrf | None, min_content: float = 0
     """
 
     def judge(batch):
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        stats = line_stats(texts)
-        n_words, repeated, _ = repeated_window_words(texts)
-        if crf is None:
-            labels = np.full(len(stats.words), CONTENT)
-        else:
-            labels = crf.decode(line_features(stats), stats.line_offsets)
-        content = stats.per_text(stats.words * (labels == CONTENT))
-        share = content / np.maximum(1, n_words)
-        failed = (n_words < 10) | (100 * repeated > 20 * n_words)
-        chars = stats.classes.sum(1) - stats.classes[:, SPACE] - stats.classes[:, NEWLINE]
-        return {
-            "doc_id": batch.column("doc_id"),
-            "n_words": n_words,
-            "word_chars": stats.per_text(chars),
-            "n_symbols": stats.per_text(stats.classes[:, SYMBOL]),
-            "n_dup_lines": stats.per_text(stats.repeats.astype(np.int64)),
-            "n_repeat_words": repeated,
-            "base_failed": failed,
-            "kept": ~failed & (share >= min_content),
-            "content_share": share,
-        }
+        found = judge_texts([t or "" for t in batch.column("text").to_pylist()], crf, min_content)
+        return {"doc_id": batch.column("doc_id")} | found
 
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
     return per_batch(docs.select(F.col("doc_id").cast("long"), "text"), judge, schema)
 
 
+def keep_content(docs: DataFrame, crf: LineCrf | None, min_content: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns, in one pass."""
+    ship_package(docs.sparkSession)
+
+    def keep(batches):
+        for batch in batches:
+            if batch.num_rows:
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array(judge_texts(texts, crf, min_content)["kept"]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return label_documents(docs, fit_line_crf(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -9,6 +9,8 @@ from shelfmark.llm.op5_sum_squares_packing import op5_sum_squares_packing
 from shelfmark.llm.op6_katz_backoff import op6_katz_backoff
 from shelfmark.llm.op7_huffman_files import op7_huffman_files
 from shelfmark.llm.op8_crf_rules import op8_line_crf
+from shelfmark.llm.op9_line_join import SQL as LINE_SQL
+from shelfmark.llm.op9_line_join import op9_line_join
 
 QUERIES = {
     "op1_qda_quality": op1_qda_quality,
@@ -17,7 +19,8 @@ QUERIES = {
     "op6_katz_backoff": op6_katz_backoff,
     "op7_huffman_files": op7_huffman_files,
     "op8_line_crf": op8_line_crf,
+    "op9_line_join": op9_line_join,
     "op10_fm_index": op10_fm_index,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op9_line_join": LINE_SQL}

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -107,3 +108,14 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``docs`` less the rows whose doc_id is in ``ids`` (a stored table with that column).
+
+    Up to ``most`` ids are broadcast, so that texts stay where they are; more are joined by a
+    shuffle. A null id is never taken out.
+    """
+    ids = ids.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    few = ids.limit(most + 1).count() <= most
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(docs.columns)
