@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from shelfmark.llm.op10_fm_index import op10_fm_index
 from shelfmark.llm.op1_qda_quality import op1_qda_quality
+from shelfmark.llm.op2_surrogates import op2_surrogates
+from shelfmark.llm.op3_delta_rollups import SQL as ROLLUP_SQL
+from shelfmark.llm.op3_delta_rollups import op3_delta_rollups, word_rollups
 from shelfmark.llm.op4_tensored_minhash import op4_tensored_minhash
 from shelfmark.llm.op5_sum_squares_packing import op5_sum_squares_packing
 from shelfmark.llm.op6_katz_backoff import op6_katz_backoff
@@ -14,6 +17,9 @@ from shelfmark.llm.op9_line_join import op9_line_join
 
 QUERIES = {
     "op1_qda_quality": op1_qda_quality,
+    "op2_surrogates": op2_surrogates,
+    "op3_delta_rollups": op3_delta_rollups,
+    "word_rollups": word_rollups,
     "op4_tensored_minhash": op4_tensored_minhash,
     "op5_sum_squares_packing": op5_sum_squares_packing,
     "op6_katz_backoff": op6_katz_backoff,
@@ -23,4 +29,4 @@ QUERIES = {
     "op10_fm_index": op10_fm_index,
 }
 
-SQL = {"op9_line_join": LINE_SQL}
+SQL = {"op9_line_join": LINE_SQL, "word_rollups": ROLLUP_SQL}
