@@ -126,7 +126,7 @@ def duplicate_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """All columns of ``docs``, with ``text`` less its repeated lines, and ``n_lines``,
-    ``n_removed``.
+    ``n_removed`` (in place of columns that already have these names).
 
     A line of at least MIN_WORDS distinct words goes if an earlier line of the corpus, by
     doc_id and place, has a Jaccard similarity of 0.8 or more with it (whether or not that one
@@ -138,17 +138,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     classes = store(line_classes(texts), "line-classes")
     repeated = duplicate_classes(texts, classes)
     kept = classes.join(repeated, "at", "left_anti").groupBy(F.col("at.doc_id").alias("kept_id")).agg(F.collect_set("at.line_no").alias("kept_lines"))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left")
-    # Positions as a bitmap-like map would cost more: kept lines are sorted and compared in step.
-    judged = F.transform(
-        F.split("text", "\n"),
-        lambda line, i: F.when((F.size(line_words(F.lower(line))) < MIN_WORDS) | F.array_contains(F.coalesce("kept_lines", F.array().cast("array<int>")), i), line),
-    )
+    rows = docs.select(F.col("doc_id").alias("row_id"), "text", F.struct(*docs.columns).alias("row"))
+    rows = rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")), "left")
+    known = F.coalesce("kept_lines", F.array().cast("array<int>"))
+    judged = F.transform(F.split("text", "\n"), lambda line, i: F.when((F.size(line_words(F.lower(line))) < MIN_WORDS) | F.array_contains(known, i), line))
     cleaned = let(judged, lambda lines: F.struct(F.array_join(lines, "\n").alias("text"), F.size(lines).alias("n"), F.size(F.array_compact(lines)).alias("kept")))
-    out = rows.withColumn("line_result", F.when(F.col("text").isNotNull(), cleaned))
-    columns = [F.col("line_result.text").alias("text") if c == "text" else docs[c] for c in docs.columns]
+    out = rows.select("row", F.when(F.col("text").isNotNull(), cleaned).alias("new"))
+    columns = [F.col("new.text").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return out.select(*columns, count(F.col("line_result.n")).alias("n_lines"), count(F.col("line_result.n") - F.col("line_result.kept")).alias("n_removed"))
+    return out.select(*columns, count(F.col("new.n")).alias("n_lines"), count(F.col("new.n") - F.col("new.kept")).alias("n_removed"))
 
 
 def op9_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:

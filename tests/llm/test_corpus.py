@@ -1,0 +1,489 @@
+"""Duplicates, lines, benchmark passages, token files, packing, surrogates and rollups."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from conftest import TESTDATA
+from tokenizers import Tokenizer
+
+from check import rows_of
+from shelfmark.llm import op4_tensored_minhash as near
+from shelfmark.llm import op7_huffman_files as files
+from shelfmark.llm import op10_fm_index as fm
+from shelfmark.llm.bpe import Encoder, tokenizer_path
+from shelfmark.llm.components import components
+from shelfmark.llm.op2_surrogates import _luhn, canonical, entities, later_attempts, op2_surrogates, replace_entities, surrogate
+from shelfmark.llm.op3_delta_rollups import TokenRollup, bpe_counter, op3_delta_rollups, pattern_counter
+from shelfmark.llm.op5_sum_squares_packing import op5_sum_squares_packing, pack_pieces, packed_sequences, sum_of_squares, token_pieces
+from shelfmark.llm.op9_line_join import SQL as LINE_SQL
+from shelfmark.llm.op9_line_join import dedup_lines, op9_line_join
+from shelfmark.llm.words import documents, without_ids
+
+ODD = "doc_id long, text string, a long, b string, n_lines string, component_id string, row string, length int, items string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    long = " ".join(f"w{i % 9973}" for i in range(30_000))
+    texts = [(1, None), (2, ""), (3, " \n\t "), (4, "one two"), (4, "one two"), (5, long), (6, "née 日本 \U0001f600 ### x"), (None, "a b c d e f g h i j k")]
+    return spark.createDataFrame([(i, t, 1, "b", "n", "c", "r", 2, "i") for i, t in texts], ODD)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], ODD)
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return documents(spark, str(TESTDATA)).toPandas().set_index("doc_id").text
+
+
+# ------------------------------------------------------------------ near duplicates
+
+
+def roots(n, links):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return [find(x) for x in range(n)]
+
+
+def plain_components(rows, width=4):
+    """Smallest linked id of each row by comparing all pairs."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split()
+        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
+    links = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if x and y and 100 * len(x & y) >= 80 * len(x | y)]
+    found = roots(len(rows), links)
+    least = collections.defaultdict(lambda: 1 << 60)
+    for i, root in enumerate(found):
+        least[root] = min(least[root], rows[i][0])
+    return {rows[i][0]: (len(sets[i]), least[root]) for i, root in enumerate(found)}
+
+
+def chained(n, seed):
+    """A base text and copies of copies with edits: many pairs are near, many just not."""
+    rng = random.Random(seed)
+    base, out = [f"x{rng.randrange(10**6)}" for _ in range(60)], []
+    for _ in range(n):
+        copy = list(rng.choice(out) if out and rng.random() < 0.5 else base)
+        for _ in range(rng.randrange(4)):
+            copy[rng.randrange(60)] = f"y{rng.randrange(10**6)}"
+        out.append(copy)
+    return [" ".join(x) for x in out]
+
+
+def test_components_equal_plain_ones(spark, texts, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", 1500)  # clusters of several blocks
+    rows = list(texts.items()) + [(1000 + i, t) for i, t in enumerate(chained(120, 5))] + [(2000, "A b c"), (2001, "a B c"), (2002, "a b"), (2003, "")]
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = plain_components(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+    assert all(r.kept == (r.component_id == r.doc_id) for r in found)
+
+
+def test_near_duplicates_of_odd_rows(odd, none):
+    rows = near.near_duplicates(odd).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in rows)[:3] == [("1", 0, "1", True), ("2", 0, "2", True), ("3", 0, "3", True)]
+    assert sum(r.doc_id == 4 for r in rows) == 2 and all(r.kept for r in rows)
+    assert near.near_duplicates(none).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_connected_components(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(300, 340)] + [(5, 5)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    expected = roots(341, links)
+    assert found == {x: expected[x] for x in {y for a, b in links if a != b for y in (a, b)}}
+
+
+# ------------------------------------------------------------------ lines
+
+
+def test_lines_equal_sql(spark):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{TESTDATA}/documents.parquet'")
+    ours, theirs = op9_line_join(spark, str(TESTDATA)).toPandas(), db.execute(LINE_SQL).df()
+    assert rows_of(ours) == rows_of(theirs) and ours.n_removed.sum() > 0
+
+
+def test_lines_equal_all_pairs(spark):
+    lines = [x.replace(" x", f"\n{'' if i % 3 else ' '}x") for i, x in enumerate(chained(40, 6))]
+    lines = ["\n".join(" ".join(t.split()[k : k + 12]) for k in range(0, 60, 12)) for t in lines]
+    found = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    seen, expected = [], {}
+    for i, text in enumerate(lines):
+        kept = []
+        for line in text.split("\n"):
+            words = set(line.lower().split())
+            if not any(100 * len(words & x) >= 80 * len(words | x) for x in seen):
+                kept.append(line)
+            seen.append(words)
+        expected[i] = "\n".join(kept)
+    assert {r.doc_id: r.text for r in found} == expected
+
+
+def test_lines_of_odd_rows(spark, odd, none):
+    out = dedup_lines(odd)
+    assert set(out.columns) == {*odd.columns, "n_removed"}
+    rows = {r.doc_id: r for r in out.collect()}
+    assert rows[1].text is None and rows[1].n_lines == 0 and (rows[2].text, rows[2].n_lines) == ("", 1)
+    assert rows[3].text == " \n\t " and rows[None].text == "a b c d e f g h i j k" and rows[None].row == "r"
+    assert dedup_lines(none).count() == 0
+    again = spark.createDataFrame([(2, "k l m n o"), (1, "K l m N o\nshort line"), (1, "K l m N o\nshort line")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(again).collect()) == [(1, "K l m N o\nshort line", 0)] * 2 + [(2, "", 1)]
+
+
+# ------------------------------------------------------------------ benchmark
+
+
+def plain_contamination(docs, items):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        size = min(10, len(w))
+        for k in range(len(w) - size + 1 if size else 0):
+            windows.setdefault(tuple(w[k : k + size]), set()).add(str(item))
+    out = {}
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for size in {len(x) for x in windows}:
+            for k in range(len(w) - size + 1):
+                if tuple(w[k : k + size]) in windows:
+                    found |= windows[tuple(w[k : k + size])]
+                    hit |= set(range(k, k + size))
+        out[doc] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
+    return out
+
+
+def test_contamination_equals_plain_search(spark, texts):
+    items = [tuple(r) for r in spark.read.parquet(f"{TESTDATA}/benchmark.parquet").select("item_id", "text").collect()]
+    expected = plain_contamination(texts.items(), items)
+    rows = fm.op10_fm_index(spark, str(TESTDATA)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected and any(r.contaminated for r in rows)
+
+
+@pytest.mark.parametrize("block_bytes, shard_words", [(8 << 20, 10**6), (60, 100)])
+def test_short_and_overlapping_phrases(spark, monkeypatch, block_bytes, shard_words):
+    monkeypatch.setattr(fm, "SHARD_WORDS", shard_words)
+    rng = random.Random(3)
+    some = lambda n: " ".join(rng.choices("abc", k=n))
+    docs = [(i, some(rng.randrange(60))) for i in range(150)] + [(1000, None), (1001, "")]
+    items = [(i, some(rng.choice([0, 3, 5, 9, 10, 12, 15]))) for i in range(9)] + [(77, None), (78, "")]
+    found = fm.find_benchmark(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()
+    expected = plain_contamination(docs, items)
+    for r in found:
+        assert (r.n_words, sum(r.spans[1::2]) - sum(r.spans[::2]), len(r.items)) == expected[r.doc_id][:3]
+        assert all(a < b for a, b in zip(r.spans, r.spans[1:], strict=False))
+
+
+def test_contamination_of_odd_rows(spark, odd, none):
+    benchmark = spark.createDataFrame([(None, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10"), (3, "née日本")], "item_id long, text string")
+    rows = {r.doc_id: r for r in fm.contamination(odd, benchmark).collect()}
+    assert rows[5].n_items == 1 and rows[5].n_hit > 10 and rows[1].n_words == 0 and not rows[4].contaminated
+    assert fm.contamination(none, benchmark).count() == 0
+    assert not any(r.contaminated for r in fm.contamination(odd, benchmark.limit(0)).collect())
+
+
+def test_suffix_array_and_search():
+    rng = np.random.default_rng(1)
+    text = rng.integers(1, 5, 400)
+    order = fm.suffix_array(np.append(text, fm.END))
+    whole = [*text.tolist(), 0]
+    assert order.tolist() == sorted(range(401), key=lambda i: whole[i:])
+    index = fm.FmIndex(text, 5)
+    phrases = rng.integers(1, 5, (50, 3))
+    for phrase, low, high in zip(phrases, *index.search(phrases), strict=True):
+        places = [i for i in range(398) if (text[i : i + 3] == phrase).all()]
+        assert sorted(index.locate(np.arange(low, high)).tolist()) == places
+
+
+# ------------------------------------------------------------------ tokens
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_pieces_equal_the_library(texts, name, spaced):
+    rng = random.Random(7)
+    alphabet = [" ", " ", "\n", "\t", "a", "Bc", "é", "É", "!", "..", "1", "'s", "'", "\r", "\xa0", "é", "日", "<|endoftext|>", "<|", "\x1c", "Σ", "​", "\x85", "İ", "\x00", "ﬁ", "\U0001f600", "Ǆ", "word.", "Straße,"]
+    cases = ["", *texts[:60], *("".join(rng.choices(alphabet, k=rng.randrange(12))) for _ in range(4000))]
+    path = tokenizer_path(name)
+    expected = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(path).encode_batch(cases, add_special_tokens=False)]
+    assert Encoder(path, spaced).encode(cases) == expected
+
+
+def ids_of(text, name, end):
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, end], "<u4")
+
+
+def test_files_give_back_all_ids(spark, texts, monkeypatch):
+    monkeypatch.setattr(files, "BLOCK_IDS", 3000)
+    rows = {r.doc_id: r for r in files.op7_huffman_files(spark, str(TESTDATA)).collect()}
+    start = 0
+    for doc in sorted(texts.index):
+        ids = ids_of(texts[doc], "byte_bpe_50k.json", 2)
+        assert (rows[doc].start, rows[doc].n_tokens, rows[doc].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_files_of_odd_rows(spark, odd, none, folder):
+    for rows, n in ((odd, 8), (none, 0), (odd.where("doc_id = 2"), 1)):
+        path = folder("token-files")
+        files.write_token_files(rows, path, tokenizer_path("byte_bpe_50k.json"), 2, 50257)
+        back = files.read_token_files(spark, path, with_ids=True).collect()
+        assert len(back) == n and all(len(r.ids) == r.n_tokens and r.ids[-1] == 2 for r in back)
+        assert sorted(r.start for r in back) == np.cumsum([0, *sorted((r.n_tokens for r in back), key=lambda x: 0)])[:0].tolist() + sorted(r.start for r in back)
+
+
+@pytest.mark.parametrize("counts", [[5], [0, 3, 0], [1, 1], [1, 2, 4, 8, 16, 32, 64], [1] * 100 + [10**6], [2**i for i in range(30)]])
+def test_code_lengths(counts):
+    counts = np.array(counts)
+    for limit in (16, 8):
+        lengths = files.code_lengths(counts, limit)
+        used = counts > 0
+        assert ((lengths > 0) == used).all() and lengths.max() <= limit
+        if used.sum() > 1:
+            assert sum(2.0 ** -int(x) for x in lengths[used]) == 1
+    if used.sum() > 1 and files.code_lengths(counts, 30).max() <= 16:
+        heap, cost = sorted(counts[used].tolist()), 0
+        while len(heap) > 1:  # without a limit Huffman's own algorithm is optimal
+            a, b, *heap = heap
+            cost += a + b
+            heap = sorted([*heap, a + b])
+        assert (counts * files.code_lengths(counts)).sum() == cost
+
+
+def test_code_round_trip():
+    rng = np.random.default_rng(2)
+    ids = rng.zipf(1.2, 10_000) % 5000
+    code = files.Code(files.code_lengths(np.bincount(ids, minlength=5000)))
+    for n in (0, 1, 63, 64, 65, 10_000):
+        assert (code.decode(*code.encode(ids[:n]), n) == ids[:n]).all()
+
+
+def test_packing(spark, texts):
+    rows = op5_sum_squares_packing(spark, str(TESTDATA)).toPandas()
+    for doc, parts in rows.sort_values("piece").groupby("doc_id"):
+        ids = ids_of(texts[doc], "word_bpe_49k.json", 1)
+        assert parts.length.sum() == len(ids) and (parts.length[:-1] == 4096).all()
+        assert parts.ids_crc32.tolist() == [zlib.crc32(ids[i : i + 4096].tobytes()) for i in range(0, len(ids), 4096)]
+        assert parts.start.tolist() == list(range(0, len(ids), 4096)) and parts.piece.tolist() == list(range(len(parts)))
+    assert set(rows.doc_id) == set(texts.index)
+    for _, parts in rows.sort_values("offset").groupby("sequence_id"):
+        assert (parts.offset == parts.length.cumsum() - parts.length).all() and parts.length.sum() <= 4096
+    assert rows.sequence_id.nunique() <= -(-rows.length.sum() // 4096) + 1
+
+
+def test_packing_in_groups_and_of_odd_rows(spark, odd, none):
+    pieces = token_pieces(odd, tokenizer_path("word_bpe_49k.json"), capacity=100, with_ids=True)
+    placed = pack_pieces(pieces.drop("ids"), capacity=100, group=16)
+    rows = placed.toPandas()
+    assert len(rows) == pieces.count() and set(rows.doc_id.dropna()) == {1, 2, 3, 4, 5, 6} and rows.doc_id.isna().sum() == 1
+    sequences = packed_sequences(pieces, placed).toPandas()
+    assert sequences.ids.map(len).sum() == rows.length.sum() and sequences.ids.map(len).max() <= 100
+    assert pack_pieces(token_pieces(none, tokenizer_path("word_bpe_49k.json"))).count() == 0
+    with pytest.raises(ValueError):
+        pack_pieces(pieces.drop("ids"), capacity=50)
+
+
+def test_sum_of_squares_takes_the_best_gap():
+    """Every choice is compared with all others by the sum itself."""
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 13, 200)
+    where, offset, filled = sum_of_squares(lengths, 12)
+    levels: list[int] = []
+    square = lambda x: sum(c * c for g, c in collections.Counter(12 - f for f in x).items() if g)
+    for size, chosen, at in zip(lengths.tolist(), where.tolist(), offset.tolist(), strict=True):
+        room = [i for i, f in enumerate(levels) if f + size <= 12 and f < 12]
+        assert (chosen == len(levels)) == (not room)
+        if room:
+            after = {i: square([f + size * (i == j) for j, f in enumerate(levels)]) for i in room}
+            assert after[chosen] == min(after.values()) and levels[chosen] == at
+            levels[chosen] += size
+        else:
+            levels.append(size)
+    assert levels == filled.tolist()
+
+
+# ------------------------------------------------------------------ personal data
+
+KEY = b"test"
+
+
+def test_surrogates_keep_kind_and_format():
+    text = "Mr. John Smith and Mrs. Anna Smith, Госпожа Анна Петрова; a.b@mail7.example.com, A.B@MAIL7.example.com, +1 (017) 555-3138, +1-017-555-3138, 4111 1111 1111 1111, 4111111111111111, 10.20.30.254, token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\", 078-05-1120"
+    found = entities(text)
+    new = {(k, v): surrogate(k, v, 0, KEY) for _, _, k, v in found}
+    assert [k for _, _, k, _ in found] == ["given_m", "surname", "given_f", "surname", "given_f", "surname", "email", "email", "phone", "phone", "card", "card", "ip", "secret", "ssn"]
+    for (kind, old), fake in new.items():
+        assert old != fake and len(entities(fake)) == (0 if kind.startswith(("given", "surname", "secret")) and kind != "secret" else 1)
+        if kind not in ("email", "surname") and not kind.startswith("given"):
+            assert re.sub(r"\w", "x", old) == re.sub(r"\w", "x", fake)
+    same = lambda kind, a, b: canonical(kind, new[kind, a]) == canonical(kind, new[kind, b])
+    assert same("email", "a.b@mail7.example.com", "A.B@MAIL7.example.com")
+    assert same("phone", "+1 (017) 555-3138", "+1-017-555-3138") and new["phone", "+1-017-555-3138"].startswith("+1-")
+    assert same("card", "4111 1111 1111 1111", "4111111111111111") and _luhn(new["card", "4111111111111111"]) == 0
+    assert new["given_m", "John"][-1] == "n" and new["given_f", "Anna"][-1] == "a" and new["given_f", "Анна"][-1] == "а"
+    assert all("а" <= c <= "я" for c in new["surname", "Петрова"].lower())
+
+
+def test_no_entity_is_left(spark, texts):
+    pattern = r"[\w.]+@mail\d\.example\.com|(?<!\d)\d{16}(?!\d)|\"[0-9a-f]{40}\"|\+1 \(\d{3}\) 555-\d{4}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])"
+    rows = {r.doc_id: r for r in op2_surrogates(spark, str(TESTDATA)).collect()}
+    changed = 0
+    for doc, text in texts.items():
+        held = re.findall(pattern, text)
+        assert not any(x in rows[doc].text for x in held) and rows[doc].n_entities >= len(held)
+        assert held or rows[doc].n_entities or rows[doc].text == text
+        changed += rows[doc].text != text
+    assert changed > 0
+
+
+def test_collisions_are_resolved(spark, odd, none):
+    # One-digit octets have 9 ** 4 surrogates: hundreds of addresses collide.
+    addresses = [f"{a}.{b}.{c}.{d}" for a in range(1, 9) for b in range(1, 9) for c in range(1, 6) for d in range(1, 3)]
+    docs = spark.createDataFrame([(i, f"at {x} and {x}") for i, x in enumerate(addresses)], "doc_id long, text string")
+    assert later_attempts(docs, KEY).count() > 0
+    rows = replace_entities(docs, KEY).orderBy("doc_id").collect()
+    fakes = [re.findall(r"[\d.]+", r.text) for r in rows]
+    assert all(a == b for a, b in fakes) and len({a for a, _ in fakes}) == len(addresses)
+    assert not {a for a, _ in fakes} & set(addresses)
+    plain = {r.doc_id: r for r in replace_entities(odd, KEY).collect()}
+    assert plain[1].text is None and plain[1].n_entities == 0 and plain[4].text == "one two"
+    assert replace_entities(none, KEY).count() == 0
+
+
+def test_collisions_by_join(spark, monkeypatch):
+    from shelfmark.llm import op2_surrogates as module
+
+    addresses = [f"{a}.{b}.1.{d}" for a in range(1, 9) for b in range(1, 9) for d in range(1, 9)]
+    docs = spark.createDataFrame([(i, f"at {x}" if i else None) for i, x in enumerate(addresses)], "doc_id long, text string")
+    by_value = {r.doc_id: r.text for r in replace_entities(docs, KEY).collect()}
+    monkeypatch.setattr(module, "MOST_BY_VALUE", 0)
+    assert {r.doc_id: r.text for r in replace_entities(docs, KEY).collect()} == by_value
+
+
+# ------------------------------------------------------------------ rollups
+
+
+def totals(rollup):
+    return {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in rollup.totals().collect()}
+
+
+def test_rollup_batches(spark, folder):
+    schema = "op string, doc_id long, source string, lang string, text string, seq long, counts string, live int"
+    batch = lambda *rows: spark.createDataFrame([(*r, None, None) for r in rows], schema)
+    root = folder("rollup")
+    rollup = TokenRollup(spark, root, {"w": pattern_counter(r"\S+"), "b.1": bpe_counter(tokenizer_path("byte_bpe_50k.json"), True)})
+    assert totals(rollup) == {}
+    first = batch(("insert", 1, "s", "en", "a b c", 1), ("insert", 2, "s", None, "d e", 1), ("insert", 3, None, "en", None, 1), ("insert", None, "s", "en", "x", 1), ("other", 9, "s", "en", "x", 1))
+    assert rollup.apply("one", first) and not rollup.apply("one", first)
+    assert {k: v for k, v in totals(rollup).items() if k[2] == "w"} == {("s", "en", "w"): (1, 3), ("s", None, "w"): (1, 2), (None, "en", "w"): (1, 0)}
+    second = batch(("revise", 1, "t", "en", "a b c d e", 1), ("delete", 2, "s", None, None, 1), ("delete", 8, "s", "en", "x", 1), ("insert", 4, "s", "en", "x", 1), ("delete", 4, "s", "en", "x", 2), ("insert", 3, "s", "en", "x y", 1), ("insert", 3, "s", "en", "x y", 1))
+    assert rollup.apply("two", second) and not rollup.apply("two", second)
+    assert {k: v for k, v in totals(rollup).items() if k[2] == "w"} == {("t", "en", "w"): (1, 5), ("s", "en", "w"): (1, 2)}
+    assert rollup.apply("three", batch(("insert", 2, "s", "en", "z", 1))) and rollup.apply("none", batch())
+    assert totals(TokenRollup(spark, root, rollup.tokenizers))["s", "en", "w"] == (2, 3)
+
+
+def test_uncommitted_batch_counts_nothing(spark, folder, monkeypatch):
+    root = folder("rollup")
+    rollup = TokenRollup(spark, root, {"w": pattern_counter(r"\S+")})
+    rows = spark.createDataFrame([("insert", 1, "s", "en", "a b c")], "op string, doc_id long, source string, lang string, text string")
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            rollup.commits() or rollup.apply("one", rows)
+    assert rollup.apply("one", rows) and totals(rollup) == {("s", "en", "w"): (1, 3)}
+
+
+def test_rollup_equals_counts(spark, texts):
+    sources = {r.doc_id: (r.source, r.lang) for r in documents(spark, str(TESTDATA)).collect()}
+    tokenizer, expected = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), collections.defaultdict(lambda: (0, 0))
+    for doc, text in texts.items():
+        if doc % 10 != 2:
+            text = text + " Revised, once more." if doc % 10 == 1 else text
+            for name, n in (("words.1", len(re.findall(r"[^\x20\x09-\x0d]+", text))), ("byte_bpe_50k.1", len(tokenizer.encode(text, add_special_tokens=False).ids))):
+                docs, tokens = expected[*sources[doc], name]
+                expected[*sources[doc], name] = (docs + 1, tokens + n)
+    assert {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in op3_delta_rollups(spark, str(TESTDATA)).collect()} == dict(expected)
+
+
+# ------------------------------------------------------------------ pipeline
+
+
+def test_pipeline_equals_plain_stages(spark, texts):
+    import corpus_pipeline as pipeline
+    from shelfmark.llm.op8_crf_rules import op8_line_crf
+    from shelfmark.llm.words import store
+
+    docs = documents(spark, str(TESTDATA))
+    columns, held = docs.columns, dict(texts)
+    items = [tuple(r) for r in spark.read.parquet(f"{TESTDATA}/benchmark.parquet").select("item_id", "text").collect()]
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = store(stage(spark, docs, str(TESTDATA)), f"test-{name}")
+        assert docs.columns == columns
+        if name == "quality_rules":
+            good = {r.doc_id for r in op8_line_crf(spark, str(TESTDATA)).where("kept").collect()}
+            held = {d: t for d, t in held.items() if d in good}
+        elif name == "line_dedup":
+            seen, after = [], {}
+            for d in sorted(held):
+                kept = []
+                for line in held[d].split("\n"):
+                    words = set(line.lower().split())
+                    if len(words) < 5 or not any(100 * len(words & x) >= 80 * len(words | x) for x in seen):
+                        kept.append(line)
+                    if len(words) >= 5:
+                        seen.append(words)
+                text = "\n".join(kept)
+                if text == held[d] or text.split():
+                    after[d] = text
+            held = after
+        elif name == "near_dedup":
+            found = plain_components(list(held.items()), 5)
+            held = {d: t for d, t in held.items() if found[d][1] == d}
+        else:
+            found = plain_contamination(held.items(), items)
+            held = {d: t for d, t in held.items() if not found[d][4]}
+        rows = docs.collect()
+        assert {r.doc_id: r.text for r in rows} == held and len(rows) == len(held), name
+        assert all(r.n_chars == len(r.text) for r in rows)
+    packed = pipeline.run(spark, str(TESTDATA)).toPandas()
+    assert set(packed.doc_id) == set(held)
+    for doc, parts in packed.sort_values("piece").groupby("doc_id"):
+        assert parts.length.sum() == len(ids_of(held[doc], "word_bpe_49k.json", 1))
+
+
+def test_without_ids(spark, odd):
+    ids = spark.createDataFrame([(4, "x"), (None, "y"), (4, "z")], "doc_id long, text string")
+    for most in (10, 0):
+        left = without_ids(odd, ids, most)
+        assert left.columns == odd.columns and sorted(str(r.doc_id) for r in left.collect()) == ["1", "2", "3", "5", "6", "None"]
+
+
+def test_entry_registers_all():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
