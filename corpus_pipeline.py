@@ -24,12 +24,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of lines go; so do documents of which no word is left by that."""
-    out = dedup_lines(docs)
+    out = dedup_lines(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     out = out.where(~F.coalesce(emptied, F.lit(False)))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+
+    def column(name: str):
+        old = F.col("row")[name]
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("text")).otherwise(old).cast(docs.schema[name].dataType).alias(name)
+        return old.alias(name)
+
+    return out.select(*map(column, docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
