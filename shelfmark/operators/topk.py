@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 # how the rows were split over tasks.
 SCORE_DIGITS = 6
 _SLICE_CELLS = 4_000_000
+# Components from which on a sum of products may leave the range of single precision.
+_WIDE = 1e15
 _SLACK = 2.5 * 10.0**-SCORE_DIGITS
 
 
@@ -38,6 +40,17 @@ def pair_scores(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
     return np.round(score, SCORE_DIGITS)
 
 
+def lengths_of(rows: np.ndarray) -> np.ndarray:
+    """Euclidean lengths in double precision, whatever the size of the components."""
+    wide = rows.astype(np.float64)
+    return np.sqrt(np.einsum("ij,ij->i", wide, wide))
+
+
+def unit_rows(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Rows scaled in double precision to length one, then in single."""
+    return (rows.astype(np.float64) / lengths[:, None]).astype(np.float32)
+
+
 @dataclass
 class BestRows:
     """The k best rows seen so far for each of a set of queries."""
@@ -50,10 +63,10 @@ class BestRows:
         self.query = np.zeros(0, np.int64)
         self.row_id = np.zeros(0, np.int64)
         self.score = np.zeros(0)
-        self.norms = np.linalg.norm(self.queries, axis=1)
+        self.norms = lengths_of(self.queries)
         self.bar = np.full(len(self.queries), -np.inf)  # the k-th closeness so far
-        scaled = self.queries / self.norms[:, None] if self.metric == "cosine" else self.queries
-        self.left = scaled.astype(np.float32)
+        self.left = unit_rows(self.queries, self.norms) if self.metric == "cosine" else self.queries
+        self.largest = float(np.abs(self.queries).max(initial=0))
 
     def add(self, ids: np.ndarray, rows: np.ndarray, which: np.ndarray | None = None) -> None:
         """Offer rows to all queries, or to the queries at the positions ``which``."""
@@ -65,12 +78,15 @@ class BestRows:
             self._offer(ids[at : at + step], rows[at : at + step], which)
 
     def _offer(self, ids: np.ndarray, rows: np.ndarray, which: np.ndarray) -> None:
-        norms = np.linalg.norm(rows, axis=1)
-        right = rows / norms[:, None] if self.metric == "cosine" else rows
-        close = self.left[which] @ right.T
+        norms = lengths_of(rows)
+        right = unit_rows(rows, norms) if self.metric == "cosine" else rows
         # Single precision finds the candidates; the error bound widens the cut so that
-        # none is missed, and the survivors are scored again in double precision.
-        unit_error = (rows.shape[1] + 8) * np.finfo(np.float32).eps
+        # none is missed, and the survivors are scored again in double precision. Products
+        # that single precision could not hold are taken in double at once.
+        wide = self.metric != "cosine" and max(self.largest, float(np.abs(rows).max(initial=0))) > _WIDE
+        kind = np.float64 if wide else np.float32
+        close = self.left[which].astype(kind) @ right.T.astype(kind)
+        unit_error = (rows.shape[1] + 8) * float(np.finfo(kind).eps)
         bar = self.bar[which]
         if self.metric == "l2":
             lengths = self.norms[which]

@@ -111,3 +111,51 @@ def test_approximate(spark):
     recall = np.mean([len(set(some[q]) & set(exact[q])) / 5 for q in exact])
     assert recall > 0.8
     assert ann.rows(spark).count() == 600
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame(rows, "id long, embedding array<float>")
+
+
+@pytest.mark.parametrize("options", [{}, CELLS | {"cell_bytes": 64}])
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_very_small_and_very_large_components(spark, metric, options):
+    data = np.array([[3e-25, 1e-25], [1, 1], [3e25, 1e25], [1, 0], [-2e25, 5e24], [1e-30, 3e-30]], np.float32)
+    index = vectors_of(spark, [(i, v.tolist()) for i, v in enumerate(data)])
+    queries = index.select(F.col("id").alias("query_id"), F.col("embedding").alias("qv"))
+    assert found(similarity_search(index, queries, 3, metric, **options)) == brute(data, data, 3, metric)
+
+
+@pytest.mark.parametrize("options", [{}, CELLS])
+def test_odd_questions_stand_alone(spark, options):
+    index = vectors_of(spark, [(1, [1.0, 0.0]), (2, [0.0, 1.0])])
+    asked = spark.createDataFrame([(0, []), (1, [1.0, 0.1]), (2, [1.0, 2.0, 3.0]), (3, None)], "query_id long, qv array<float>")
+    assert found(similarity_search(index, asked.coalesce(1), 1, **options)) == {1: [1]}
+    assert similarity_search(index, asked.where("query_id IN (0, 3)"), 1, **options).count() == 0
+    assert similarity_search(index.limit(0), asked, 1, **options).count() == 0
+    with pytest.raises(ValueError, match="length"):
+        similarity_search(index, asked.where("query_id = 2"), 1, **options)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_given_centroids(spark, metric, monkeypatch):
+    from shelfmark.operators import ann as module
+
+    data, index = make_rows(spark, 80)
+    centroids = index.where("id < 7").select(F.col("id").alias("list_id"), F.col("embedding").alias("centroid"))
+    nearest = brute(data[:7], data, 1, metric)
+    for most in (module.MAX_CENTROID_BYTES, 8 * DIM * 3):  # in one block and in several
+        monkeypatch.setattr(module, "MAX_CENTROID_BYTES", most)
+        built = build_ann(index, DIM, metric=metric, centroids=centroids)
+        assert {r.id: [r.list_id] for r in built.rows(spark).collect()} == nearest
+    probed = {q: set(ids) for q, ids in brute(data[:7], data, 2, metric).items()}
+    expected = brute(data, data, 3, metric, lambda q, i: nearest[i][0] in probed[q])
+    assert found(search_ann(built, as_queries(index), 3, nprobe=2)) == {q: ids for q, ids in expected.items() if ids}
+
+
+def test_payload_is_read_from_probed_lists_only(spark):
+    _, index = make_rows(spark, 60)
+    built = build_ann(index, DIM, 6)
+    hits = search_ann(built, as_queries(index.where("id = 3")), 2, nprobe=1, columns=["grp"])
+    scans = [line for line in plan_of(hits).splitlines() if "grp" in line and "FileScan" in line]
+    assert scans and all("PartitionFilters: []" not in line for line in scans)
