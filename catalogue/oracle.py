@@ -192,6 +192,17 @@ WHEN 2 THEN 'all zero' WHEN 3 THEN 'not finite' END AS reason FROM embeddings"""
         "list_cosine_similarity", "DESC", where="i.label = q.label OR i.label = (q.label + 1) % 10", extra=", label"
     ),
     "similarity_cells": topk("list_cosine_similarity", "DESC", extra=", label"),
+    "similarity_extremes": """WITH v AS (SELECT vec_id AS id, list_transform(embedding::DOUBLE[], lambda x: (x * [1e-25, 1.0, 1e25][label % 3 + 1])::FLOAT::DOUBLE) AS e FROM embeddings),
+s AS (SELECT q.id AS query_id, i.id, round(list_inner_product(q.e, i.e) / (sqrt(list_inner_product(q.e, q.e)) * sqrt(list_inner_product(i.e, i.e))), 6) AS score FROM v q, v i),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s)
+SELECT query_id, rank, id, score FROM r WHERE rank <= 5""",
+    "similarity_ann": f"""WITH {VECTORS},
+near AS (SELECT v.id, c.id AS list_id, row_number() OVER (PARTITION BY v.id
+           ORDER BY round(list_cosine_similarity(v.e::DOUBLE[], c.e::DOUBLE[]), 6) DESC, c.id) AS place FROM v, v c WHERE c.id < 16),
+hits AS (SELECT q.id AS query_id, i.id, i.label, round(list_cosine_similarity(q.e::DOUBLE[], i.e::DOUBLE[]), 6) AS score
+         FROM v q JOIN near p ON p.id = q.id AND p.place <= 4 JOIN near a ON a.list_id = p.list_id AND a.place = 1 JOIN v i ON i.id = a.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM hits)
+SELECT query_id, rank, id, label, score FROM r WHERE rank <= 5""",
     "similarity_ann_all_lists": topk("list_cosine_similarity", "DESC", extra=", label"),
     "rerank_bm25": f"""WITH {retrieval([DOCUMENT_ITEMS], BENCHMARK_QUESTIONS, 256, 20)}, {bm25_ctes()}
 SELECT query_id, rank, id, score, first_rank FROM reranked""",
@@ -227,8 +238,16 @@ SELECT evolution_type, count(*) AS n_questions, round(avg((first_hit IS NOT NULL
 round(avg(coalesce(1 / first_hit, 0)), 6) AS mrr, round(avg(recall), 6) AS recall FROM q JOIN j USING (query_id) GROUP BY evolution_type""",
     "count_rows": "SELECT count(*) AS n_rows FROM documents",
     "scan_files": "SELECT item_id, strlen(text) + 1 AS length, text || chr(10) AS text FROM benchmark",
-    "ingest_files": f"WITH {sentence_ctes('benchmark', 'item_id')} SELECT item_id, chunk_no, content, 256::BIGINT AS dim FROM chunks",
-    "ingest_stream": f"WITH {sentence_ctes('benchmark', 'item_id')} SELECT item_id, chunk_no, content, 0::BIGINT AS second_run FROM chunks",
+    "ingest_files": f"""WITH {sentence_ctes('benchmark', 'item_id')},
+items AS (SELECT item_id * 100000 + chunk_no AS id, item_id, chunk_no, content FROM chunks),
+{cells_ctes('cells', 'items', 'id', 'content', 256, fitted=False)}
+SELECT item_id, chunk_no, md5(content) AS content_md5, slot, round(v, 5) AS value FROM cells JOIN items USING (id) WHERE abs(round(v, 5)) > 0.000005""",
+    "ingest_stream": f"WITH {sentence_ctes('benchmark', 'item_id')} SELECT item_id, chunk_no, content, 0::BIGINT AS second_run, 256::BIGINT AS dim FROM chunks",
+    "ingest_updates": f"""WITH files AS (SELECT doc_id, CASE lang WHEN 'fr' THEN 'Revu. ' || text WHEN 'de' THEN ' ' ELSE text END AS text
+FROM documents WHERE lang <> 'es'), {sentence_ctes('files', 'doc_id')}
+SELECT doc_id, chunk_no, md5(content) AS content_md5 FROM chunks""",
+    "scan_by_path": "SELECT item_id, text || chr(10) AS text FROM benchmark WHERE item_id % 2 = 0",
+    "embed_with_failures": "SELECT doc_id, CASE WHEN length(text) % 7 <> 0 THEN length(text) ELSE -1 END AS n_chars FROM documents",
     "append_embeddings": f"""WITH {sentence_ctes('documents', 'doc_id')}
 SELECT 2 * count(*) AS n_rows, 2 * count(*) AS n_ids, 1::BIGINT AS first_id, 2 * count(*) AS last_id FROM chunks""",
     "upsert_embeddings": f"""WITH second AS (SELECT doc_id, CASE lang WHEN 'fr' THEN 'Neu. ' || text
@@ -242,13 +261,15 @@ FROM old o FULL OUTER JOIN new n ON o.doc_id = n.doc_id
 WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text IS DISTINCT FROM n.text""",
     "apply_changes": f"WITH {VERSIONS} SELECT doc_id, md5(text) AS text_md5, lang, source FROM new",
     "create_or_sync_index": f"""WITH {VECTORS}
-SELECT id, label, round(e[1], 6) AS first_cell, (SELECT count(*) FROM v WHERE label = 9) AS n_insert,
+SELECT id, label, unnest(range(0, 64)) AS slot, round(unnest(e)::DOUBLE, 6) AS value, (SELECT count(*) FROM v WHERE label = 9) AS n_insert,
 (SELECT count(*) FROM v WHERE label = 3) AS n_update, (SELECT count(*) FROM v WHERE label = 0) AS n_delete, 0::BIGINT AS n_third
 FROM v WHERE label <> 0""",
-    "sync_text_index": f"""WITH {VERSIONS}
-SELECT doc_id AS id, md5(text) AS content_md5, 256::BIGINT AS dim FROM new WHERE len({terms('text')}) > 0""",
+    "sync_text_index": f"""WITH {VERSIONS}, items AS (SELECT doc_id AS id, text AS content FROM new),
+{cells_ctes('cells', 'items', 'id', 'content', 256, fitted=False)}
+SELECT id, slot, round(v, 5) AS value FROM cells WHERE abs(round(v, 5)) > 0.000005""",
     "direct_index": f"""WITH {VECTORS}
-SELECT id, CASE WHEN label >= 4 THEN label + 100 ELSE label END AS label, round(e[1], 6) AS first_cell FROM v WHERE label <> 7""",
+SELECT id, CASE WHEN label >= 4 THEN label + 100 ELSE label END AS label, unnest(range(0, 64)) AS slot, round(unnest(e)::DOUBLE, 6) AS value FROM v WHERE label <> 7""",
     "sync_triggered": f"""WITH {VECTORS}
-SELECT id, CASE WHEN label >= 4 THEN label + 100 ELSE label END AS label, round(e[1], 6) AS first_cell, 0::BIGINT AS third_run FROM v""",
+SELECT id, CASE WHEN label >= 4 THEN label + 100 ELSE label END AS label, unnest(range(0, 64)) AS slot, round(unnest(e)::DOUBLE, 6) AS value,
+0::BIGINT AS third_run FROM v WHERE label <> 2""",
 }

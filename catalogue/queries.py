@@ -21,7 +21,7 @@ from shelfmark.operators.rerank import Bm25Scorer, ModelScorer, pair_windows, re
 from shelfmark.operators.search import similarity_search
 from shelfmark.operators.validate import validate_vectors
 from shelfmark.plans.index import create_or_sync_index, create_or_sync_text_index, delete_from_index, index_rows, upsert_index
-from shelfmark.plans.ingest import ingest_files
+from shelfmark.plans.ingest import ingest_changes, ingest_files
 from shelfmark.plans.retrieve import retrieve
 from shelfmark.session import materialize, scratch_path, spread
 from shelfmark.sources.files import scan_files
@@ -258,6 +258,23 @@ def similarity_cells(spark: SparkSession, sf: str) -> DataFrame:
     return _ranked(hits, "label")
 
 
+def similarity_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """Very small, plain and very large components side by side, by label."""
+    power = F.element_at(F.array(F.lit(1e-25), F.lit(1.0), F.lit(1e25)), (F.col("label") % 3 + 1).cast("int"))
+    rows = _table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.transform("embedding", lambda x: (x.cast("double") * power).cast("float")).alias("embedding")
+    )
+    return _ranked(similarity_search(rows, rows.select(F.col("id").alias("query_id"), F.col("embedding").alias("qv")), 5, "cosine"))
+
+
+def similarity_ann(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 16 vectors are the centroids; four of their lists are looked through."""
+    rows = _vectors(spark, sf)
+    centroids = rows.where("id < 16").select(F.col("id").alias("list_id"), F.col("embedding").alias("centroid"))
+    ann = build_ann(rows, 64, metric="cosine", centroids=centroids)
+    return _ranked(search_ann(ann, _vector_queries(spark, sf), 5, 4, columns=["label"]), "label")
+
+
 def _ann(nprobe: int, n_lists: int):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         ann = build_ann(_vectors(spark, sf), 64, n_lists, "cosine")
@@ -396,11 +413,33 @@ def ingest_benchmark_files(spark: SparkSession, sf: str) -> DataFrame:
     embedder = HashEmbedder(SMALL_DIM)
     ingest_files(files, name, embedder, n_buckets=4, path=path)
     ingest_files(files, name, embedder, n_buckets=4, path=path)
+    return _chunk_cells(read_table(spark, name))
+
+
+def _chunk_cells(rows: DataFrame, digits: int = 5) -> DataFrame:
+    """Every non-zero cell of the vectors of a table of chunks."""
+    keys = ["item_id", "chunk_no", "content_md5"]
+    named = rows.select(_item_id("pdf_name"), F.col("chunk_no").cast("bigint").alias("chunk_no"), F.md5("content").alias("content_md5"), to_cells(F.col("embedding")).alias("c"))
+    cells = unnest(named, keys, "c")
+    cells = cells.select(*keys, F.col("slot").cast("bigint").alias("slot"), F.round("v", digits).alias("value"))
+    return cells.where(F.abs("value") > 0.5 * 10.0**-digits)
+
+
+def ingest_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as files in two versions: French ones are revised, German ones become blank,
+    Spanish ones are removed and English ones of odd number are new."""
+    docs = _documents(spark, sf, "doc_id", "text", "lang")
+    folder = scratch_path(spark, "document-files")
+    name, path = _fresh_table(spark, "shelfmark_updated_files")
+    manifest, embedder = scratch_path(spark, "manifest"), HashEmbedder(SMALL_DIM)
+    first = docs.where("lang <> 'en' OR doc_id % 2 = 0")
+    revised = F.when(F.col("lang") == "fr", F.concat(F.lit("Revu. "), "text")).when(F.col("lang") == "de", F.lit(" ")).otherwise(F.col("text"))
+    for version in (first, docs.where("lang <> 'es'").withColumn("text", revised)):
+        version.select(F.concat(F.lit("d"), "doc_id").alias("doc"), "text").write.mode("overwrite").partitionBy("doc").option("lineSep", "\n").text(folder)
+        ingest_changes(spark, folder, name, embedder, manifest, "part-*", n_buckets=4, path=path)
     rows = read_table(spark, name)
-    return rows.select(
-        _item_id("pdf_name"), F.col("chunk_no").cast("bigint").alias("chunk_no"), "content",
-        F.size("embedding").cast("bigint").alias("dim"),
-    )
+    number = F.regexp_extract("pdf_name", "/doc=d([0-9]+)/", 1).cast("bigint").alias("doc_id")
+    return rows.select(number, F.col("chunk_no").cast("bigint").alias("chunk_no"), F.md5("content").alias("content_md5"))
 
 
 def ingest_file_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -415,7 +454,7 @@ def ingest_file_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = read_table(spark, name)
     return rows.select(
         _item_id("pdf_name"), F.col("chunk_no").cast("bigint").alias("chunk_no"), "content",
-        F.lit(runs[1]).cast("bigint").alias("second_run"),
+        F.lit(runs[1]).cast("bigint").alias("second_run"), F.size("embedding").cast("bigint").alias("dim"),
     )
 
 
@@ -471,8 +510,9 @@ def apply_document_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _index_out(spark: SparkSession, name: str) -> DataFrame:
-    cell = F.round(F.get("embedding", F.lit(0)).cast("double"), 6)
-    return index_rows(spark, name).select("id", "label", cell.alias("first_cell"))
+    """Every cell of every vector of an index."""
+    cells = F.transform("embedding", lambda x, i: F.struct(i.cast("bigint").alias("slot"), F.round(x.cast("double"), 6).alias("value")))
+    return unnest(index_rows(spark, name).select("id", "label", cells.alias("c")), ["id", "label"], "c")
 
 
 def sync_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -499,9 +539,7 @@ def sync_text_index(spark: SparkSession, sf: str) -> DataFrame:
     embedder = HashEmbedder(SMALL_DIM)
     create_or_sync_text_index(shape(old), name, embedder, n_buckets=8, path=path)
     create_or_sync_text_index(shape(new), name, embedder, n_buckets=8, path=path)
-    return index_rows(spark, name).select(
-        "id", F.md5("content").alias("content_md5"), F.size("embedding").cast("bigint").alias("dim")
-    )
+    return _long(index_rows(spark, name), "id")
 
 
 def direct_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -515,18 +553,43 @@ def direct_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sync_triggered(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors arrive in two drops; the third run finds nothing."""
+    """Changes arrive in two drops, deletes among them; the third run finds nothing."""
     rows = _vectors(spark, sf)
     folder, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
     name, path = _fresh_table(spark, "shelfmark_stream_index")
-    runs = []
-    for drop in (rows.where("label < 6"), rows.where("label >= 4").withColumn("label", F.col("label") + 100), None):
+    put, gone = F.lit("insert").alias("_change"), F.lit("delete").alias("_change")
+    later = rows.where("label >= 4").withColumn("label", F.col("label") + 100).select("*", put).unionByName(rows.where("label = 2").select("*", gone))
+    schema, runs = later.schema, []
+    for drop in (rows.where("label < 6").select("*", put), later, None):
         if drop is not None:
             drop.write.mode("append").parquet(folder)
-        runs.append(sync_stream(spark, folder, rows.schema, name, checkpoint, dim=64, n_buckets=8, path=path))
+        runs.append(sync_stream(spark, folder, schema, name, checkpoint, dim=64, n_buckets=8, path=path))
     return _index_out(spark, name).withColumn("third_run", F.lit(runs[2]).cast("bigint"))
 
 
+def scan_by_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Files picked by a part of their path."""
+    files = scan_files(spark, _benchmark_files(spark, sf)).where(F.col("path").rlike("[02468]/[^/]*$"))
+    return files.select(_item_id("path"), F.decode("content", "UTF-8").alias("text"))
+
+
+def embed_with_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """A model that refuses some texts; their rows are kept without a vector."""
+
+    def make():
+        import numpy as np
+
+        def predict(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise RuntimeError("refused")
+            return np.array([[len(t), t.count(" ")] for t in texts], dtype=np.float32)
+
+        return predict
+
+    out = ModelEmbedder("lengths", make, 2, batch_size=1, on_error="null").transform(_documents(spark, sf), "text")
+    return out.select("doc_id", F.coalesce(F.get("embedding", F.lit(0)).cast("bigint"), F.lit(-1)).alias("n_chars"))
+
+
 QUERIES = {
     "retrieve_flagship": flagship,
     "chunk_window": chunk_window,
@@ -550,7 +613,8 @@ QUERIES = {
     "similarity_filtered": similarity_filtered,
     "similarity_access": similarity_access,
     "similarity_cells": similarity_cells,
-    "similarity_ann": _ann(4, 16),
+    "similarity_extremes": similarity_extremes,
+    "similarity_ann": similarity_ann,
     "similarity_ann_all_lists": _ann(8, 8),
     "rerank_bm25": rerank_bm25,
     "rerank_model": rerank_model,
@@ -561,6 +625,9 @@ QUERIES = {
     "eval_hit_at_k": eval_hit_at_k,
     "count_rows": count_documents,
     "scan_files": scan_benchmark_files,
+    "scan_by_path": scan_by_path,
+    "embed_with_failures": embed_with_failures,
+    "ingest_updates": ingest_updates,
     "ingest_files": ingest_benchmark_files,
     "ingest_stream": ingest_file_stream,
     "append_embeddings": append_chunks,

@@ -7,7 +7,7 @@ from shelfmark.operators.chunk import chunk_text
 from shelfmark.operators.corpus import fit_corpus
 from shelfmark.operators.embed import HashEmbedder, ModelEmbedder
 from shelfmark.operators.evaluate import evaluate, judge_hits
-from shelfmark.operators.extract import extract_text, join_pages, pdf_extractor
+from shelfmark.operators.extract import extract_text, join_pages
 from shelfmark.operators.ids import assign_ids
 from shelfmark.operators.prompts import build_prompts, to_passages
 from shelfmark.operators.rerank import Bm25Scorer, ModelScorer, pair_windows, rerank
@@ -21,7 +21,7 @@ from shelfmark.plans.index import (
     index_rows,
     upsert_index,
 )
-from shelfmark.plans.ingest import ingest_files
+from shelfmark.plans.ingest import ingest_changes, ingest_files
 from shelfmark.plans.retrieve import retrieve
 from shelfmark.session import arrow_batch_rows, drop_scratch, get_spark, tune_shuffle
 from shelfmark.sources.files import scan_files, stream_files
@@ -32,6 +32,7 @@ from shelfmark.sources.tables import (
     preview,
     read_questions,
     read_table,
+    remove_documents,
     replace_table,
     upsert_embeddings,
     use_namespace,

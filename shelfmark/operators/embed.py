@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.functions.common import as_list, unnest
+from shelfmark.functions.common import unnest
 from shelfmark.functions.text import term_counts, term_sign, term_slot, terms
 from shelfmark.functions.vectors import unit_vector
 from shelfmark.operators.corpus import CorpusStats, fit_corpus
 from shelfmark.operators.lookup import HOT_KEYS, NARROW_ROWS, keyed_lookup
-from shelfmark.session import ship_package
+from shelfmark.session import materialize, ship_package
 
 # Largest vocabulary that is broadcast: its rows and bytes are known from the fit.
 BROADCAST_TERMS = 2_000_000
@@ -69,15 +69,15 @@ class HashEmbedder:
 
         A vocabulary within the broadcast bounds is looked up inside the scan stage,
         without a shuffle. A larger one is joined by term, hot terms apart, and the
-        weights come back by ``key``, which must then be given and unique.
+        weights come back by a number given to each row; the input is stored for that, so
+        it is computed once. ``key`` is not needed for either way.
         """
         if self.stats is None:
             return df.withColumn(out, unit_vector(_plain_entries(F.col(text_col), self.dim), self.dim))
         if self.stats.n_terms <= broadcast_terms and self.stats.term_bytes <= BROADCAST_BYTES:
             return self._transform_in_place(df, text_col, out)
-        if key is None:
-            raise ValueError("the vocabulary is too large to broadcast: name the key columns of the input")
-        return self._transform_by_join(df, text_col, out, as_list(key), hot_keys, broadcast_facts)
+        numbered = materialize(df.withColumn("_row_no", F.monotonically_increasing_id()), "numbered")
+        return self._transform_by_join(numbered, text_col, out, ["_row_no"], hot_keys, broadcast_facts).drop("_row_no")
 
     def _transform_in_place(self, df: DataFrame, text_col: str, out: str) -> DataFrame:
         spark, dim = df.sparkSession, self.dim
@@ -94,7 +94,8 @@ class HashEmbedder:
     def _transform_by_join(self, df, text_col, out, key, hot_keys, broadcast_facts) -> DataFrame:
         spark = df.sparkSession
         entries = df.select(*key, term_counts(F.col(text_col)).alias("_e"))
-        postings = unnest(entries, key, "_e")
+        # Stored: counting, and both branches of the lookup, read it.
+        postings = materialize(unnest(entries, key, "_e"), "postings")
         counts = postings.groupBy("term").agg(F.count("*").alias("n"))
         signed = self.stats.signed_terms(spark, self.dim).select("term", "slot", "weight")
         weighted = keyed_lookup(postings, signed, "term", counts, hot_keys, broadcast_facts)

@@ -40,10 +40,13 @@ class Bm25Scorer:
 
         def pair_score(entries: Column) -> Column:
             length = F.aggregate(entries, F.lit(0), lambda acc, e: acc + e["tf"])
-            own = F.filter(entries, lambda e: F.array_contains(F.map_keys("_idf"), e["term"]))
+            # Hashed, not searched one by one: both sides may be whole passages.
+            shared = F.array_intersect(F.transform(entries, lambda e: e["term"]), F.map_keys("_idf"))
+            counts = F.map_from_entries(entries)
             damp = self.k1 * (1 - self.b + self.b * length / self.stats.mean_length)
-            gain = lambda e, d: F.element_at("_idf", e["term"]) * e["tf"] * (self.k1 + 1) / (e["tf"] + d)
-            return let(damp, lambda d: F.aggregate(own, F.lit(0.0), lambda acc, e: acc + gain(e, d)))
+            gain = lambda tf, idf, d: idf * tf * (self.k1 + 1) / (tf + d)
+            add = lambda c, d: F.aggregate(shared, F.lit(0.0), lambda acc, t: acc + gain(F.element_at(c, t), F.element_at("_idf", t), d))
+            return let(damp, lambda d: let(counts, lambda c: add(c, d)))
 
         # Bound once per pair: a plain column would be folded into the lambda and run per term.
         score = let(term_counts(F.col(text_col)), pair_score)
@@ -89,11 +92,21 @@ def pair_windows(
 ) -> DataFrame:
     """``(query_id, id, question, part_no, part, n_tokens)`` with question + part within ``limit``.
 
-    The windows cover the whole passage. A question leaves room for at least one
-    token of passage, whatever its own length.
+    The windows cover the whole passage. A question that would leave less than an eighth of
+    the limit is cut into windows itself, and each meets all windows of the passage.
     """
-    room = F.greatest(F.lit(1), F.lit(limit) - F.size(tokens(F.col(question_col))))
-    rows = pairs.select(*_PAIR, question_col, tokens(F.col(text_col)).alias("_tok"), room.alias("_room"))
+    most = limit - max(1, limit // 8)
+    asked = tokens(F.col(question_col))
+    cut = F.when(
+        F.size(asked) > most,
+        F.transform(
+            F.sequence(F.lit(0), F.ceil(F.size(asked) / most).cast("int") - 1),
+            lambda i: F.array_join(F.slice(asked, i * most + 1, F.lit(most)), " "),
+        ),
+    ).otherwise(F.array(F.col(question_col)))
+    opened = pairs.select(*_PAIR, text_col, F.explode_outer(cut).alias(question_col))
+    room = F.lit(limit) - F.size(tokens(F.coalesce(F.col(question_col), F.lit(""))))
+    rows = opened.select(*_PAIR, question_col, tokens(F.col(text_col)).alias("_tok"), room.alias("_room"))
     last = F.greatest(F.lit(0), F.ceil(F.size("_tok") / F.col("_room")).cast("int") - 1)
     parts = F.transform(
         F.sequence(F.lit(0), last),

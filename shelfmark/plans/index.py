@@ -9,10 +9,12 @@ from shelfmark.functions.common import as_list
 from shelfmark.operators.changes import changed_keys, fingerprint
 from shelfmark.operators.validate import validate_vectors
 from shelfmark.session import materialize
+from shelfmark.sources.tables import check_embedder
 from shelfmark.sources.keyed import (
     apply_to_table,
     buckets_for,
     create_keyed_table,
+    refuse_duplicates,
     table_keys,
     table_property,
     upsert_only,
@@ -81,10 +83,13 @@ def create_or_sync_index(
     Safe to run again: it then changes nothing. A sync reads only keys and hashes of the
     index and rewrites the touched buckets. Rows whose vector is not valid are not
     indexed (see ``validate_vectors`` for them). An interrupted run is repaired by the next.
+    ``embedder_id`` must be the one the index was made with, and no key may come twice.
     """
     if create_index(source, index, key, vector_col, dim, embedder_id, n_buckets, path):
+        refuse_duplicates(source, as_list(key))
         write_rows(_valid(source, index), index)
         return {"insert": index_rows(source.sparkSession, index).count(), "update": 0, "delete": 0}
+    check_embedder(source.sparkSession, index, embedder_id)
     return upsert_rows(_valid(source, index), index)
 
 
@@ -103,8 +108,7 @@ def create_or_sync_text_index(
     source = source.withColumn("text_hash", fingerprint([c for c in source.columns if c != key]))
     shape = source.withColumn(vector_col, F.lit(None).cast("array<float>"))
     create_index(shape, index, key, vector_col, embedder.dim, embedder.embedder_id, n_buckets, path)
-    if index_embedder(spark, index) != embedder.embedder_id:
-        raise ValueError("the index was built by another embedder; create a new one")
+    check_embedder(spark, index, embedder.embedder_id)
     keys = table_keys(spark, index)
     changes = materialize(
         changed_keys(index_rows(spark, index), source, keys, "text_hash"), "changes"
@@ -119,8 +123,9 @@ def create_or_sync_text_index(
     return apply_to_table(materialize(won.unionByName(lost), "changes"), valid, index)
 
 
-def upsert_index(rows: DataFrame, index: str) -> dict[str, int]:
-    """Put rows into an index directly, without a source table."""
+def upsert_index(rows: DataFrame, index: str, embedder_id: str | None = None) -> dict[str, int]:
+    """Put rows into an index directly, without a source table; one row per key."""
+    check_embedder(rows.sparkSession, index, embedder_id)
     return upsert_only(_valid(rows, index), index)
 
 

@@ -9,11 +9,12 @@ from shelfmark.operators.ann import AnnIndex, search_ann
 from shelfmark.operators.embed import check_same_embedder
 from shelfmark.operators.rerank import DEFAULT_TOP_N, rerank
 from shelfmark.operators.search import DEFAULT_K, similarity_search
+from shelfmark.plans.index import index_embedder, index_rows
 from shelfmark.session import materialize
 
 
 def retrieve(
-    index: DataFrame | AnnIndex,
+    index: DataFrame | AnnIndex | str,
     questions: DataFrame,
     embedder,
     scorer,
@@ -29,8 +30,16 @@ def retrieve(
     """``k`` similar passages per question, re-scored, the best ``top_n`` kept.
 
     ``questions`` has ``query_id`` and ``question``. They are embedded by the embedder
-    of the index and stored once, since search and re-ranking both read them.
+    of the index and stored once, since search and re-ranking both read them. An index given
+    by name, or an approximate one, knows its embedder, and another is refused; for a
+    DataFrame ``index_embedder_id`` says which it was.
     """
+    if isinstance(index, str):
+        index_embedder_id = index_embedder(questions.sparkSession, index)
+        check_same_embedder(index_embedder_id, embedder.embedder_id)
+        index = index_rows(questions.sparkSession, index)
+    elif isinstance(index, AnnIndex) and index.embedder_id is not None:
+        check_same_embedder(index.embedder_id, embedder.embedder_id)
     if index_embedder_id is not None:
         check_same_embedder(index_embedder_id, embedder.embedder_id)
     questions = questions.select("query_id", "question")

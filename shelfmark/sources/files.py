@@ -20,9 +20,11 @@ def scan_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path)
 
 
-def stream_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def stream_files(spark: SparkSession, path: str, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
     """New files under ``path`` as a stream, with the same columns."""
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)

@@ -7,17 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfmark.functions.common import as_list
-from shelfmark.plans.index import create_index, upsert_index
+from shelfmark.operators.changes import fingerprint
+from shelfmark.plans.index import create_index, delete_from_index, upsert_index
 from shelfmark.plans.ingest import ingest_files
+from shelfmark.session import materialize
 from shelfmark.sources.files import stream_files
 
 
 def latest_per_key(rows: DataFrame, key: list[str], version_col: str | None) -> DataFrame:
-    """One row per key, that of the highest version; pre-aggregated before the shuffle."""
-    if version_col is None:
-        return rows.dropDuplicates(key)
+    """One row per key, that of the highest version; pre-aggregated before the shuffle.
+
+    Without versions, and between equal ones, the choice is by a hash of the content: the
+    same on every run.
+    """
     rest = [c for c in rows.columns if c not in key]
-    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(version_col)).alias("_row"))
+    order = F.struct(*([] if version_col is None else [version_col]), fingerprint(rest or key).alias("_hash"))
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_row"))
     return newest.select(*key, "_row.*").select(*rows.columns)
 
 
@@ -57,18 +62,30 @@ def sync_stream(
     version_col: str | None = None,
     n_buckets: int | None = None,
     path: str | None = None,
+    embedder_id: str | None = None,
+    files_per_batch: int | None = None,
 ) -> int:
     """Bring new Parquet files of ``source_dir`` into the index; returns the batches run.
 
+    Rows may carry ``_change``, as ``diff_snapshots`` makes it: those marked ``delete``
+    take their key out of the index. ``files_per_batch`` cuts a backlog into batches.
+
     A batch that is repeated after a failure writes the same rows by key again, so the
     result is as if it had run once. Within one batch the highest version of a key wins.
     The first batch creates the index: give ``n_buckets`` for the size it will grow to.
     """
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source_dir)
 
     def batch(rows: DataFrame) -> None:
-        create_index(rows, index, key, vector_col, dim, None, n_buckets, path)
-        upsert_index(latest_per_key(rows, as_list(key), version_col), index)
+        rows = materialize(latest_per_key(rows, as_list(key), version_col), "change-rows")
+        marked = F.lit(None).cast("string") if "_change" not in rows.columns else F.col("_change")
+        put, gone = rows.where(~F.coalesce(marked == "delete", F.lit(False))).drop("_change"), rows.where(marked == "delete")
+        create_index(put, index, key, vector_col, dim, embedder_id, n_buckets, path)
+        upsert_index(put, index, embedder_id)
+        delete_from_index(gone, index)
 
     return _run(stream, checkpoint, index, batch)
 
@@ -81,8 +98,13 @@ def ingest_stream(
     checkpoint: str,
     extractor="auto",
     glob: str | None = None,
+    files_per_batch: int | None = None,
     **options,
 ) -> int:
-    """Bring new files of ``source_dir`` into the embedding table; returns the batches run."""
-    stream = stream_files(spark, source_dir, glob)
+    """Bring new files of ``source_dir`` into the embedding table; returns the batches run.
+
+    A stream of files takes each path once. Where files are updated in place or removed,
+    ``ingest_changes`` follows them.
+    """
+    stream = stream_files(spark, source_dir, glob, files_per_batch)
     return _run(stream, checkpoint, table, lambda rows: ingest_files(rows, table, embedder, extractor, **options))

@@ -143,3 +143,12 @@ def test_shuffle_partitions_follow_the_input(spark):
     with setting(spark, "spark.sql.shuffle.partitions", "4"):
         assert tune_shuffle(spark, 1 << 20) == spark.sparkContext.defaultParallelism
         assert tune_shuffle(spark, 100 << 40) == 200_000
+
+
+def test_large_vocabulary_needs_no_key(spark):
+    df = corpus(spark).withColumn("id", F.when(F.col("id") > 1, F.col("id")))  # null keys too
+    embedder = HashEmbedder.fit(df, dim=16)
+    near = embedder.transform(df).collect()
+    far = embedder.transform(df, broadcast_terms=0, broadcast_facts=0).collect()
+    shape = lambda rows: sorted((r.content or "", [round(x, 5) for x in r.embedding or []]) for r in rows)
+    assert shape(near) == shape(far) and near[0].asDict().keys() == far[0].asDict().keys()

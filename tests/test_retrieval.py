@@ -77,7 +77,8 @@ def test_pair_windows(spark):
     rows = pair_windows(pairs, 10).orderBy("id", "part_no").collect()
     assert [r.n_tokens for r in rows if r.id == 1] == [7, 7, 6]
     assert " ".join(r.part for r in rows if r.id == 1) == text
-    assert [(r.id, r.n_tokens) for r in rows if r.id != 1] == [(2, 0), (3, 1)]
+    # A question of 30 tokens is four windows of at most 9 itself.
+    assert [(r.id, r.n_tokens) for r in rows if r.id != 1] == [(2, 0)] + [(3, 1)] * 4
 
 
 def test_two_stages(spark, index):
@@ -116,3 +117,16 @@ def test_evaluation(spark):
     report = {r.evolution_type: r for r in evaluate(questions, hits, 2).collect()}
     assert (report["simple"].hit_at_k, report["simple"].mrr, report["simple"].recall) == (0.5, 0.25, 0.5)
     assert (report["reasoning"].hit_at_k, report["reasoning"].recall) == (0.0, 0.5)
+
+
+def test_a_long_question_is_cut_as_well(spark):
+    question, passage = " ".join(f"q{i}" for i in range(50)), " ".join(f"p{i}" for i in range(40))
+    pairs = spark.createDataFrame([(1, 1, passage, question), (1, 2, passage, "short one"), (1, 3, "", question)], "query_id long, id long, content string, question string")
+    parts = pair_windows(pairs, 16).collect()
+    sizes = [len(r.question.split()) + r.n_tokens for r in parts]
+    assert max(sizes) <= 16
+    long = [r for r in parts if r.id == 1]
+    assert {w for r in long for w in r.question.split()} == set(question.split())
+    for asked in {r.question for r in long}:
+        assert " ".join(r.part for r in sorted(long, key=lambda r: r.part_no) if r.question == asked) == passage
+    assert sum(r.id == 2 for r in parts) == 3

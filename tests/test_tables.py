@@ -13,9 +13,9 @@ from shelfmark.plans.index import (
     index_rows,
     upsert_index,
 )
-from shelfmark.plans.ingest import ingest_files
+from shelfmark.plans.ingest import ingest_changes, ingest_files
 from shelfmark.sources.files import scan_files
-from shelfmark.sources.tables import append_embeddings, create_embedding_table, upsert_embeddings, use_namespace
+from shelfmark.sources.tables import append_embeddings, create_embedding_table, remove_documents, upsert_embeddings, use_namespace
 from shelfmark.streaming.sync import ingest_stream, sync_stream
 
 
@@ -154,11 +154,11 @@ def test_namespace(spark):
 
 
 def test_bucket_count_follows_the_size():
-    from shelfmark.sources.keyed import MAX_BUCKETS, MIN_BUCKETS, buckets_for
+    from shelfmark.sources.keyed import MIN_BUCKETS, buckets_for
 
     assert buckets_for(1_000, 4_096) == MIN_BUCKETS
     assert buckets_for(1 << 20, 4_096 * 32) == 128
-    assert buckets_for(10**12, 4_096) == MAX_BUCKETS
+    assert buckets_for(10**12, 4_096) == -(-4_096 * 10**12 // (1 << 30))
 
 
 def test_writing_some_buckets_spares_the_others(spark, table):
@@ -167,3 +167,105 @@ def test_writing_some_buckets_spares_the_others(spark, table):
     assert upsert_index(vectors(spark, [(7, [9.0, 9.0])]), name) == {"insert": 0, "update": 1, "delete": 0}
     assert index_rows(spark, name).count() == 200
     assert index_rows(spark, name).where("embedding[0] = 9").count() == 1
+
+
+def test_deleted_rows_stay_deleted(spark, table):
+    """A bucket is emptied; what is appended to it later comes alone."""
+    name, path = table("emptied")
+    create_embedding_table(spark, name, n_buckets=4, path=path)
+    first = chunks(spark, [(f"d{i}", 0, "x") for i in range(8)])
+    upsert_embeddings(first, name)
+    gone = first.where("pdf_name < 'd6'").select("pdf_name").distinct()
+    assert remove_documents(gone, name) == {"insert": 0, "update": 0, "delete": 6}
+    append_embeddings(chunks(spark, [(f"e{i}", 0, "y") for i in range(8)]), name)
+    left = {r.pdf_name for r in spark.table(name).collect()}
+    assert left == {"d6", "d7", *(f"e{i}" for i in range(8))}
+    assert spark.table(name).count() == 10
+
+
+def test_interrupted_switch_loses_no_row(spark, table, monkeypatch):
+    from shelfmark.sources import keyed
+
+    name, path = table("interrupted")
+    create_or_sync_index(vectors(spark, [(i, [1.0, float(i)]) for i in range(20)]), name, dim=2, n_buckets=4, path=path)
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "switch_buckets", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            upsert_index(vectors(spark, [(7, [9.0, 9.0]), (30, [1.0, 1.0])]), name)
+    assert index_rows(spark, name).count() == 20
+    assert upsert_index(vectors(spark, [(7, [9.0, 9.0]), (30, [1.0, 1.0])]), name) == {"insert": 1, "update": 1, "delete": 0}
+    assert index_rows(spark, name).count() == 21
+
+
+def test_duplicate_keys_are_refused(spark, table):
+    name, path = table("twice")
+    with pytest.raises(ValueError, match="key"):
+        create_or_sync_index(vectors(spark, [(2, [1.0, 1.0]), (2, [2.0, 1.0])]), name, dim=2, n_buckets=2, path=path)
+    create_or_sync_index(vectors(spark, [(1, [1.0, 1.0])]), name, dim=2, n_buckets=2, path=path)
+    with pytest.raises(ValueError, match="key"):
+        upsert_index(vectors(spark, [(2, [1.0, 1.0]), (2, [2.0, 1.0])]), name)
+    other, path = table("twice_chunks")
+    create_embedding_table(spark, other, n_buckets=2, path=path)
+    with pytest.raises(ValueError, match="key"):
+        upsert_embeddings(chunks(spark, [("a", 0, "x"), ("a", 0, "y")]), other)
+
+
+def test_foreign_embedder_is_refused(spark, table):
+    name, path = table("foreign")
+    rows = vectors(spark, [(1, [1.0, 1.0])])
+    create_or_sync_index(rows, name, dim=2, n_buckets=2, path=path, embedder_id="A")
+    for bad in ("B", None):
+        with pytest.raises(ValueError, match="vectors"):
+            create_or_sync_index(rows, name, dim=2, embedder_id=bad)
+        with pytest.raises(ValueError, match="vectors"):
+            upsert_index(rows, name, bad)
+    assert create_or_sync_index(rows, name, dim=2, embedder_id="A") == {"insert": 0, "update": 0, "delete": 0}
+    other, path = table("foreign_chunks")
+    create_embedding_table(spark, other, "A", n_buckets=2, path=path)
+    with pytest.raises(ValueError, match="vectors"):
+        append_embeddings(chunks(spark, [("a", 0, "x")]), other)
+    with pytest.raises(ValueError, match="vectors"):
+        upsert_embeddings(chunks(spark, [("a", 0, "x")]), other, "B")
+
+
+def test_content_named_id_counts_as_content(spark, table):
+    name, path = table("id_column")
+    shape = "k long, id long, embedding array<float>"
+    rows = lambda x: spark.createDataFrame([(1, x, [1.0, 1.0])], shape)
+    create_or_sync_index(rows(1), name, key="k", dim=2, n_buckets=2, path=path)
+    assert create_or_sync_index(rows(2), name, key="k", dim=2)["update"] == 1
+
+
+def test_ingest_follows_its_files(spark, table, folder, tmp_path):
+    for n, text in (("a.txt", "First file."), ("b.txt", "Second file."), ("c.txt", "Third file."), ("d.txt", "Fourth file.")):
+        write(tmp_path, n, text)
+    name, path = table("followed")
+    embedder, manifest = HashEmbedder(8), folder("manifest")
+    run = lambda: ingest_changes(spark, str(tmp_path), name, embedder, manifest, "*.txt", n_buckets=2, path=path)
+    assert run() == {"insert": 4, "update": 0, "delete": 0, "rejected": 0}
+    assert run() == {"insert": 0, "update": 0, "delete": 0, "rejected": 0}
+    write(tmp_path, "a.txt", "First file, updated.")
+    write(tmp_path, "b.txt", "  \n ")
+    (tmp_path / "c.txt").write_bytes(b"\xff\xff\xff")
+    (tmp_path / "d.txt").unlink()
+    write(tmp_path, "e.txt", "Fifth file.")
+    assert run() == {"insert": 1, "update": 1, "delete": 3, "rejected": 1}
+    assert sorted(r.content for r in spark.table(name).collect()) == ["Fifth file.", "First file, updated."]
+    # The batch job: blank and unreadable files lose their chunks, and missing ones too when told so.
+    write(tmp_path, "a.txt", "\n")
+    assert ingest_files(scan_files(spark, str(tmp_path), "a*"), name, embedder)["delete"] == 1
+    (tmp_path / "e.txt").unlink()
+    assert ingest_files(scan_files(spark, str(tmp_path), "*.txt"), name, embedder, complete=True)["delete"] == 1
+    assert spark.table(name).count() == 0
+
+
+def test_stream_with_deletes(spark, table, folder):
+    source, checkpoint = folder("source"), folder("checkpoint")
+    name, path = table("with_deletes")
+    shape = "id long, v int, embedding array<float>, _change string"
+    drop = lambda items: spark.createDataFrame(items, shape).coalesce(1).write.mode("append").parquet(source)
+    run = lambda: sync_stream(spark, source, shape, name, checkpoint, dim=2, version_col="v", n_buckets=2, path=path, files_per_batch=1)
+    drop([(1, 1, [1.0, 1.0], "insert"), (2, 1, [1.0, 2.0], None), (3, 1, [1.0, 3.0], "insert"), (3, 2, None, "delete")])
+    drop([(1, 2, None, "delete"), (9, 1, None, "delete"), (2, 2, [5.0, 5.0], "update"), (4, 1, [1.0, 1.0], "insert")])
+    assert run() == 2
+    assert rows(index_rows(spark, name).select("id", "v")) == [(2, 2), (4, 1)]
