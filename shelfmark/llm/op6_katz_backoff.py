@@ -54,7 +54,7 @@ REPLIES = "batch long, bucket int, n int, payload binary, owned binary"
 
 def pack(values: np.ndarray) -> bytes:
     """Values by byte planes, compressed: planes of small numbers vanish."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize)
     return zstandard.ZstdCompressor(level=1).compress(raw.T.tobytes())
 
 
