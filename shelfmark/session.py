@@ -52,9 +52,11 @@ def scratch_dir(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost to the other executors.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if named:
+        if named.startswith("file:") and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names a machine-local folder; all executors must share it")
         return named.rstrip("/")
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.applicationId not in _local_scratch:
