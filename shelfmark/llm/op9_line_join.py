@@ -3,12 +3,13 @@
 A line is the set of its words. Its tokens are ordered by rarity, and only a prefix of the
 rarest is indexed: two lines of Jaccard similarity 0.8 must share a token of their prefixes.
 Length, the position of the shared token and a bitmap of each line bound the overlap from above
-before anything is verified; the Jaccard similarity is then taken over the words themselves.
+before anything is verified; the Jaccard similarity is then taken over all words of both lines.
 
 Lines with equal sets are one class, known by its first place in the corpus. A class falls to
-any earlier class that is similar to it, so one similar earlier class is enough: a first round
-asks the earliest and the preceding holder of each prefix token, which settles nearly all of a
-group of many near copies at a linear cost, and a second asks every earlier holder for the rest.
+any earlier class that is similar to it, so one similar earlier class is enough. A first round
+asks the earliest and the preceding holder of the smallest and of the largest hash of a line:
+that settles nearly all of a group of many near copies at a linear cost. The join by prefixes
+then asks every earlier holder for the rest, and is exact whatever the first round found.
 """
 
 from __future__ import annotations
@@ -23,21 +24,27 @@ PERCENT = 80
 #: Lines of fewer distinct words are left alone: a short line that recurs is not a copy.
 MIN_WORDS = 5
 #: Bits of the token hash by which frequencies are counted.
-RARITY_BITS = 14
-#: Ids that may be broadcast; above it the same join shuffles.
-BROADCAST_IDS = 1_000_000
+RARITY_BITS = 17
+#: Documents, and line numbers in all, of a table that may be broadcast; a larger one is
+#: joined by a shuffle instead.
+BROADCAST_DOCS, BROADCAST_LINES = 1_000_000, 4_000_000
 
 #: Fixed: the white space that separates words within a line.
 SPACES = "[ \t\x0b\f\r]+"
+#: Stands for a null doc_id, which comes before all others.
+NULL_ID = -(1 << 63)
+
+_BELOW = 63 - RARITY_BITS
+_MASK = (1 << _BELOW) - 1
 
 
 def line_words(line: Column) -> Column:
-    """Distinct lower-cased words, in order of first sight."""
-    return F.array_distinct(F.array_remove(F.split(line, SPACES), ""))
+    """Distinct lower-cased words, as 64-bit hashes."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(line, SPACES), ""), lambda w: F.xxhash64(w)))
 
 
-def _bucket(word: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(word), 64 - RARITY_BITS).cast("int")
+def _bucket(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, 64 - RARITY_BITS).cast("int")
 
 
 def rarity_ranks(docs: DataFrame) -> Column:
@@ -47,7 +54,7 @@ def rarity_ranks(docs: DataFrame) -> Column:
     apart by their hash. Any common order of tokens gives the same result.
     """
     word = F.explode(F.split(F.lower("text"), "[ \t\n\x0b\f\r]+"))
-    counts = docs.select(word.alias("w")).select(_bucket(F.col("w")).alias("b")).groupBy("b").count().collect()
+    counts = docs.select(word.alias("w")).select(_bucket(F.xxhash64("w")).alias("b")).groupBy("b").count().collect()
     known = {r.b: r["count"] for r in counts}
     ranks = [0] * (1 << RARITY_BITS)
     for rank, b in enumerate(sorted(range(1 << RARITY_BITS), key=lambda b: (known.get(b, 0), b))):
@@ -56,72 +63,102 @@ def rarity_ranks(docs: DataFrame) -> Column:
 
 
 def _tokens(words: Column, ranks: Column) -> Column:
-    """Words as sorted 64-bit tokens: rank of the bucket above, hash below."""
-    below = 63 - RARITY_BITS
-    token = lambda h: F.shiftleft(F.get(ranks, F.shiftrightunsigned(h, 64 - RARITY_BITS).cast("int")).cast("long"), below).bitwiseOR(h.bitwiseAND(F.lit((1 << below) - 1)))
-    return F.sort_array(F.transform(F.transform(words, lambda w: F.xxhash64(w)), token))
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    # posexplode_outer and a filter: with posexplode the optimizer copies the split below it.
-    opened = docs.select("doc_id", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("line_no", "line")).where("line IS NOT NULL")
-    return opened.select("doc_id", "line_no", line_words(F.col("line")).alias("words")).where(F.size("words") >= MIN_WORDS)
+    """Hashes as sorted 64-bit tokens: rank of the bucket above, the rest of the hash below."""
+    token = lambda h: F.shiftleft(F.get(ranks, _bucket(h)).cast("long"), _BELOW).bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
+    return F.sort_array(F.transform(words, token))
 
 
-def line_classes(docs: DataFrame) -> DataFrame:
-    """One row per distinct set of words: where it stands first, size, prefix, bitmap."""
+def line_table(docs: DataFrame) -> DataFrame:
+    """One row per line of ``docs`` (d, text) with enough words: place (d, l), hash of its set,
+    size, prefix, bitmap, smallest and largest hash."""
     ranks = rarity_ranks(docs)
-    lines = _lines(docs).select("doc_id", "line_no", _tokens(F.col("words"), ranks).alias("t"))
+    # posexplode_outer and a filter: with posexplode the optimizer copies the split below it.
+    opened = docs.select("d", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("l", "line")).where("line IS NOT NULL")
+    words = opened.select("d", "l", line_words(F.col("line")).alias("w")).where(F.size("w") >= MIN_WORDS)
+    lines = words.select("d", "l", _tokens(F.col("w"), ranks).alias("t"))
     n = F.size("t")
-    bits = F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    one = F.lit(1).cast("long")
+    half = lambda kept: F.aggregate(F.filter("t", kept), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
+    bits = F.struct(half(lambda x: x.bitwiseAND(F.lit(64)) == 0).alias("a"), half(lambda x: x.bitwiseAND(F.lit(64)) != 0).alias("b"))
     keep = n - F.floor((PERCENT * n + 99) / 100).cast("int") + 1
-    rows = lines.select(F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), F.struct("doc_id", "line_no").alias("at"), n.alias("n"), F.slice("t", F.lit(1), keep).alias("prefix"), bits.alias("bits"))
-    # Equal lines are merged before the shuffle, so a line of a third of all rows is none.
-    return rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")).select("at", "n", "prefix", "bits")
+    plain = F.transform("t", lambda x: x.bitwiseAND(F.lit(_MASK)))
+    ends = let(plain, lambda p: F.struct(F.array_min(p).alias("low"), F.array_max(p).alias("high")))
+    return lines.select("d", "l", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), n.alias("n"), F.slice("t", F.lit(1), keep).alias("prefix"), bits["a"].alias("bits_a"), bits["b"].alias("bits_b"), ends.alias("ends"))
 
 
-def _may_match(n: Column, m: Column, i: Column, j: Column, a: Column, b: Column) -> Column:
-    """Bounds on the overlap of sets of n and m tokens that share their i-th and j-th."""
-    needed = PERCENT * (n + m)  # overlap * (100 + PERCENT) must reach it
-    rest = F.least(n - i, m - j)
-    alike = n + m - F.bit_count(a.bitwiseXOR(b))
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * rest >= needed) & ((100 + PERCENT) * alike >= 2 * needed)
+def line_classes(lines: DataFrame) -> DataFrame:
+    """One row per distinct set: first place (d, l), number of lines, and what belongs to the
+    set. Equal lines are merged before the shuffle, so one of a third of all rows is none."""
+    firsts = lines.groupBy("h1", "h2").agg(
+        F.min(F.struct("d", "l")).alias("at"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits_a").alias("bits_a"), F.first("bits_b").alias("bits_b"), F.first("ends").alias("ends")
+    )
+    return firsts.select("h1", "h2", "at.d", "at.l", "copies", "n", "prefix", "bits_a", "bits_b", "ends")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Places ``b`` of the pairs (a, b) whose lines are similar, over the words themselves."""
-    pairs = store(pairs.distinct(), "line-pairs")
-    places = pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct()
-    ids = places.select(F.col("at.doc_id").alias("doc_id")).distinct()
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    needed = docs.join(F.broadcast(ids) if small else ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    lines = _lines(needed).select(F.struct("doc_id", "line_no").alias("at"), "words").join(places, "at", "left_semi")
-    lines = store(lines.dropDuplicates(["at"]), "line-words")
-    both = pairs.join(lines.select(F.col("at").alias("a"), F.col("words").alias("x")), "a").join(lines.select(F.col("at").alias("b"), F.col("words").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where((100 + PERCENT) * common >= PERCENT * (F.size("x") + F.size("y"))).select("b").distinct()
+def _bound(n: Column, m: Column, apart: Column) -> Column:
+    """Whether sets of n and m tokens, whose bitmaps differ in ``apart`` bits, may have the
+    overlap needed, which times (100 + PERCENT) is PERCENT * (n + m)."""
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * (n + m - apart) >= 2 * PERCENT * (n + m))
 
 
-def duplicate_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Places ``at`` of the classes that have a similar earlier one."""
-    entry = F.struct("at", "n", "i", "bits").alias("e")
-    postings = classes.select("at", "n", "bits", F.posexplode("prefix").alias("i", "token")).select("token", entry)
+def _apart(x, y) -> Column:
+    """Bits in which two bitmaps differ; ``x`` and ``y`` give the columns of either line."""
+    return F.bit_count(x("bits_a").bitwiseXOR(y("bits_a"))) + F.bit_count(x("bits_b").bitwiseXOR(y("bits_b")))
 
-    def bound(x: Column, y: Column) -> Column:
-        return _may_match(x["n"], y["n"], x["i"], y["i"], x["bits"], y["bits"])
 
-    order = Window.partitionBy("token").orderBy("e")
-    asked = postings.select("e", F.array(F.first("e").over(order), F.lag("e").over(order)).alias("others"))
-    chosen = F.filter("others", lambda o: (o["at"] < F.col("e.at")) & bound(o, F.col("e")))
-    first = asked.select("e", F.explode_outer(chosen).alias("o")).where("o IS NOT NULL").select(F.col("o.at").alias("a"), F.col("e.at").alias("b"))
+def _small(lists: DataFrame) -> bool:
+    """Whether a stored table (d, ls) may be broadcast."""
+    size = lists.limit(BROADCAST_DOCS + 1).agg(F.count("*").alias("docs"), F.sum(F.size("ls")).alias("lines")).first()
+    return size.docs <= BROADCAST_DOCS and (size.lines or 0) <= BROADCAST_LINES
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Later places (d, l) of the pairs (xd, xl, yd, yl) whose lines are similar. Only the
+    lines asked for leave their documents."""
+    pairs = store(pairs.distinct(), "line-pairs")
+    places = pairs.select(F.explode(F.array(F.struct(F.col("xd").alias("d"), F.col("xl").alias("l")), F.struct(F.col("yd").alias("d"), F.col("yl").alias("l")))).alias("p"))
+    wanted = store(places.groupBy(F.col("p.d").alias("d")).agg(F.collect_set("p.l").alias("ls")), "line-places")
+    texts = docs.join(F.broadcast(wanted) if _small(wanted) else wanted, "d")
+    cut = let(F.split(F.lower("text"), "\n"), lambda parts: F.transform("ls", lambda l: F.struct(l.alias("l"), line_words(F.get(parts, l)).alias("w"))))  # noqa: E741
+    words = store(texts.select("d", F.explode_outer(cut).alias("c")).select("d", "c.l", "c.w").dropDuplicates(["d", "l"]), "line-words")
+    both = pairs.join(words.select(F.col("d").alias("xd"), F.col("l").alias("xl"), F.col("w").alias("x")), ["xd", "xl"])
+    both = both.join(words.select(F.col("d").alias("yd"), F.col("l").alias("yl"), F.col("w").alias("y")), ["yd", "yl"])
+    common = F.size(F.array_intersect("x", "y"))
+    similar = both.where((100 + PERCENT) * common >= PERCENT * (F.size("x") + F.size("y")))
+    return similar.select(F.col("yd").alias("d"), F.col("yl").alias("l")).distinct()
+
+
+def similar_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Places (d, l) of the classes that have a similar earlier one."""
+    keys = classes.select("d", "l", "n", "bits_a", "bits_b", F.explode_outer(F.array(F.struct(F.lit(0).alias("side"), F.col("ends.low").alias("key")), F.struct(F.lit(1).alias("side"), F.col("ends.high").alias("key")))).alias("k"))
+    order = Window.partitionBy("k").orderBy("d", "l")
+    holder = F.struct("d", "l", "n", "bits_a", "bits_b")
+    asked = keys.withColumn("o", F.array(F.first(holder).over(order), F.lag(holder).over(order)))
+    chosen = F.filter("o", lambda o: ((o["d"] != F.col("d")) | (o["l"] != F.col("l"))) & _bound(o["n"], F.col("n"), _apart(lambda c: o[c], F.col)))
+    first = asked.select("d", "l", F.explode_outer(chosen).alias("o")).where("o IS NOT NULL")
+    first = first.select(F.col("o.d").alias("xd"), F.col("o.l").alias("xl"), F.col("d").alias("yd"), F.col("l").alias("yl"))
     settled = store(_verified(first, docs), "settled-lines")
 
-    holders = postings.select("token", F.col("e").alias("x"))
-    left = classes.join(settled, classes["at"] == settled["b"], "left_anti")
-    open_postings = left.select("at", "n", "bits", F.posexplode("prefix").alias("i", "token")).select("token", F.struct("at", "n", "i", "bits").alias("y"))
-    pairs = open_postings.join(holders, "token").where((F.col("x.at") < F.col("y.at")) & bound(F.col("x"), F.col("y")))
-    rest = _verified(pairs.select(F.col("x.at").alias("a"), F.col("y.at").alias("b")), docs)
-    return settled.unionByName(rest).select(F.col("b").alias("at"))
+    flagged = classes.select("d", "l", "n", "bits_a", "bits_b", "prefix").join(settled.withColumn("settled", F.lit(1)), ["d", "l"], "left")
+    postings = flagged.select("d", "l", "n", "bits_a", "bits_b", F.when(F.col("settled").isNull(), 1).otherwise(0).alias("open"), F.posexplode("prefix").alias("i", "token"))
+    x, y = (postings.select("token", *[F.col(c).alias(side + c) for c in ("d", "l", "n", "bits_a", "bits_b", "open", "i")]) for side in "xy")
+    earlier = (F.col("xd") < F.col("yd")) | ((F.col("xd") == F.col("yd")) & (F.col("xl") < F.col("yl")))
+    rest = F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi"))
+    # Only open classes ask. Written with both sides' flags, so that the filter stays in the
+    # join and both sides read one and the same shuffle.
+    asks = F.col("xopen") + 2 * F.col("yopen") >= 2
+    joined = x.join(y, "token").where(asks & earlier & ((100 + PERCENT) * rest >= PERCENT * (F.col("xn") + F.col("yn"))) & _bound(F.col("xn"), F.col("yn"), _apart(lambda c: F.col("x" + c), lambda c: F.col("y" + c))))
+    return settled.unionByName(_verified(joined.select("xd", "xl", "yd", "yl"), docs))
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """Numbers ``ls`` of the lines to remove from each document ``d`` of ``docs`` (d, text)."""
+    lines = store(line_table(docs), "lines")
+    classes = store(line_classes(lines), "line-classes")
+    similar = store(similar_classes(docs, classes), "similar-lines")
+    several = classes.where("copies > 1").select("h1", "h2", F.col("d").alias("fd"), F.col("l").alias("fl"))
+    later = lines.select("h1", "h2", "d", "l").join(several, ["h1", "h2"]).where("d <> fd OR l <> fl").select("d", "l")
+    return store(later.unionByName(similar).groupBy("d").agg(F.collect_set("l").alias("ls")), "repeated-lines")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -131,22 +168,20 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     A line of at least MIN_WORDS distinct words goes if an earlier line of the corpus, by
     doc_id and place, has a Jaccard similarity of 0.8 or more with it (whether or not that one
     goes too). Shorter lines stay. Null texts stay null and have no line; an empty text has
-    one. Rows with one doc_id are one document: a line number that is kept in one is kept in
-    all. A null doc_id comes before all others.
+    one. Rows with one doc_id are one document: what is removed from one is removed from all.
+    A null doc_id comes before all others.
     """
-    texts = docs.select("doc_id", "text")
-    classes = store(line_classes(texts), "line-classes")
-    repeated = duplicate_classes(texts, classes)
-    kept = classes.join(repeated, "at", "left_anti").groupBy(F.col("at.doc_id").alias("kept_id")).agg(F.collect_set("at.line_no").alias("kept_lines"))
-    rows = docs.select(F.col("doc_id").alias("row_id"), "text", F.struct(*docs.columns).alias("row"))
-    rows = rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")), "left")
-    known = F.coalesce("kept_lines", F.array().cast("array<int>"))
-    judged = F.transform(F.split("text", "\n"), lambda line, i: F.when((F.size(line_words(F.lower(line))) < MIN_WORDS) | F.array_contains(known, i), line))
-    cleaned = let(judged, lambda lines: F.struct(F.array_join(lines, "\n").alias("text"), F.size(lines).alias("n"), F.size(F.array_compact(lines)).alias("kept")))
-    out = rows.select("row", F.when(F.col("text").isNotNull(), cleaned).alias("new"))
-    columns = [F.col("new.text").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
-    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return out.select(*columns, count(F.col("new.n")).alias("n_lines"), count(F.col("new.n") - F.col("new.kept")).alias("n_removed"))
+    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    gone = repeated_lines(docs.select(place.alias("d"), "text"))
+    rows = docs.select(place.alias("d"), "text", F.struct(*docs.columns).alias("row"))
+    rows = rows.join(F.broadcast(gone) if _small(gone) else gone, "d", "left")
+    left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("ls", i))
+    rows = rows.withColumn("new", F.when(F.col("ls").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
+    columns = [F.col("new").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long")
+    n_removed = F.when(F.col("ls").isNull(), 0).otherwise(F.size("ls")).cast("long")
+    return rows.select(*columns, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
 def op9_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
