@@ -74,25 +74,24 @@ def line_table(docs: DataFrame) -> DataFrame:
     ranks = rarity_ranks(docs)
     # posexplode_outer and a filter: with posexplode the optimizer copies the split below it.
     opened = docs.select("d", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("l", "line")).where("line IS NOT NULL")
-    words = opened.select("d", "l", line_words(F.col("line")).alias("w")).where(F.size("w") >= MIN_WORDS)
-    lines = words.select("d", "l", _tokens(F.col("w"), ranks).alias("t"))
+    # The array goes through a generator, else the filter would evaluate it once more below.
+    words = opened.select("d", "l", F.explode_outer(F.array(line_words(F.col("line")))).alias("w")).where(F.size("w") >= MIN_WORDS)
+    ends = F.struct(F.array_min("w").alias("low"), F.array_max("w").alias("high"))
+    lines = words.select("d", "l", _tokens(F.col("w"), ranks).alias("t"), ends.alias("ends"))
     n = F.size("t")
     one = F.lit(1).cast("long")
-    half = lambda kept: F.aggregate(F.filter("t", kept), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
-    bits = F.struct(half(lambda x: x.bitwiseAND(F.lit(64)) == 0).alias("a"), half(lambda x: x.bitwiseAND(F.lit(64)) != 0).alias("b"))
+    bits = F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
     keep = n - F.floor((PERCENT * n + 99) / 100).cast("int") + 1
-    plain = F.transform("t", lambda x: x.bitwiseAND(F.lit(_MASK)))
-    ends = let(plain, lambda p: F.struct(F.array_min(p).alias("low"), F.array_max(p).alias("high")))
-    return lines.select("d", "l", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), n.alias("n"), F.slice("t", F.lit(1), keep).alias("prefix"), bits["a"].alias("bits_a"), bits["b"].alias("bits_b"), ends.alias("ends"))
+    return lines.select("d", "l", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), n.alias("n"), F.slice("t", F.lit(1), keep).alias("prefix"), bits.alias("bits"), "ends")
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
     """One row per distinct set: first place (d, l), number of lines, and what belongs to the
     set. Equal lines are merged before the shuffle, so one of a third of all rows is none."""
     firsts = lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("d", "l")).alias("at"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits_a").alias("bits_a"), F.first("bits_b").alias("bits_b"), F.first("ends").alias("ends")
+        F.min(F.struct("d", "l")).alias("at"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("ends").alias("ends")
     )
-    return firsts.select("h1", "h2", "at.d", "at.l", "copies", "n", "prefix", "bits_a", "bits_b", "ends")
+    return firsts.select("h1", "h2", "at.d", "at.l", "copies", "n", "prefix", "bits", "ends")
 
 
 def _bound(n: Column, m: Column, apart: Column) -> Column:
@@ -103,7 +102,7 @@ def _bound(n: Column, m: Column, apart: Column) -> Column:
 
 def _apart(x, y) -> Column:
     """Bits in which two bitmaps differ; ``x`` and ``y`` give the columns of either line."""
-    return F.bit_count(x("bits_a").bitwiseXOR(y("bits_a"))) + F.bit_count(x("bits_b").bitwiseXOR(y("bits_b")))
+    return F.bit_count(x("bits").bitwiseXOR(y("bits")))
 
 
 def _small(lists: DataFrame) -> bool:
@@ -130,18 +129,18 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def similar_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Places (d, l) of the classes that have a similar earlier one."""
-    keys = classes.select("d", "l", "n", "bits_a", "bits_b", F.explode_outer(F.array(F.struct(F.lit(0).alias("side"), F.col("ends.low").alias("key")), F.struct(F.lit(1).alias("side"), F.col("ends.high").alias("key")))).alias("k"))
+    keys = classes.select("d", "l", "n", "bits", F.explode_outer(F.array(F.struct(F.lit(0).alias("side"), F.col("ends.low").alias("key")), F.struct(F.lit(1).alias("side"), F.col("ends.high").alias("key")))).alias("k"))
     order = Window.partitionBy("k").orderBy("d", "l")
-    holder = F.struct("d", "l", "n", "bits_a", "bits_b")
+    holder = F.struct("d", "l", "n", "bits")
     asked = keys.withColumn("o", F.array(F.first(holder).over(order), F.lag(holder).over(order)))
     chosen = F.filter("o", lambda o: ((o["d"] != F.col("d")) | (o["l"] != F.col("l"))) & _bound(o["n"], F.col("n"), _apart(lambda c: o[c], F.col)))
     first = asked.select("d", "l", F.explode_outer(chosen).alias("o")).where("o IS NOT NULL")
     first = first.select(F.col("o.d").alias("xd"), F.col("o.l").alias("xl"), F.col("d").alias("yd"), F.col("l").alias("yl"))
     settled = store(_verified(first, docs), "settled-lines")
 
-    flagged = classes.select("d", "l", "n", "bits_a", "bits_b", "prefix").join(settled.withColumn("settled", F.lit(1)), ["d", "l"], "left")
-    postings = flagged.select("d", "l", "n", "bits_a", "bits_b", F.when(F.col("settled").isNull(), 1).otherwise(0).alias("open"), F.posexplode("prefix").alias("i", "token"))
-    x, y = (postings.select("token", *[F.col(c).alias(side + c) for c in ("d", "l", "n", "bits_a", "bits_b", "open", "i")]) for side in "xy")
+    flagged = classes.select("d", "l", "n", "bits", "prefix").join(settled.withColumn("settled", F.lit(1)), ["d", "l"], "left")
+    postings = flagged.select("d", "l", "n", "bits", F.when(F.col("settled").isNull(), 1).otherwise(0).alias("open"), F.posexplode("prefix").alias("i", "token"))
+    x, y = (postings.select("token", *[F.col(c).alias(side + c) for c in ("d", "l", "n", "bits", "open", "i")]) for side in "xy")
     earlier = (F.col("xd") < F.col("yd")) | ((F.col("xd") == F.col("yd")) & (F.col("xl") < F.col("yl")))
     rest = F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi"))
     # Only open classes ask. Written with both sides' flags, so that the filter stays in the
