@@ -94,13 +94,13 @@ class TokenRollup:
         rows = rows.select("doc_id", F.struct("seq", "op", F.xxhash64("text").alias("digest"), "source", "lang").alias("key"), counts.alias("counts"))
         chosen = rows.groupBy("doc_id").agg(F.max_by("counts", "key").alias("counts"), F.max("key").alias("key"))
         news = chosen.select("doc_id", "key.source", "key.lang", "counts", (F.col("key.op") != "delete").alias("live"), F.lit(number).cast("long").alias("batch_no"))
-        before = self._read("states", STATE)
-        touched = before.join(news.select("doc_id"), "doc_id", "left_semi")
-        last = touched.groupBy("doc_id").agg(F.max_by(F.struct("source", "lang", "counts", "live"), "batch_no").alias("s"))
-        old = last.select("doc_id", "s.*").where("live")
+        # Written first, and read from there on, so that no text is counted twice.
         path = f"{self.root}/states/{attempt}"
         news.write.parquet(path)
         written = self.spark.read.schema(STATE).parquet(path)
+        touched = self._read("states", STATE).join(written.select("doc_id"), "doc_id", "left_semi")
+        last = touched.groupBy("doc_id").agg(F.max_by(F.struct("source", "lang", "counts", "live"), "batch_no").alias("s"))
+        old = last.select("doc_id", "s.*").where("live")
         signed = old.withColumn("sign", F.lit(-1)).unionByName(written.where("live").drop("batch_no").withColumn("sign", F.lit(1)))
         cells = signed.select("source", "lang", "sign", F.explode("counts").alias("tokenizer", "n"))
         deltas = cells.groupBy("source", "lang", "tokenizer").agg(F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n")).alias("n_tokens"))
