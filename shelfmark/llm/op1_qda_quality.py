@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.linestats import DIGIT, LETTER, PUNCT, STOP, SYMBOL, UPPER, line_stats, repeated_window_words
-from shelfmark.llm.words import documents, per_batch
+from shelfmark.llm.words import documents, per_batch, portions
 from shelfmark.session import materialize
 
 THRESHOLD = 0.7
@@ -109,7 +109,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
     def features(batch):
-        return {"doc_id": batch.column("doc_id"), "x": document_features([t or "" for t in batch.column("text").to_pylist()]).tolist()}
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        return {"doc_id": batch.column("doc_id"), "x": np.concatenate([document_features(part) for part in portions(texts)]).tolist()}
 
     table = materialize(per_batch(docs.select(F.col("doc_id").cast("long"), "text"), features, "doc_id long, x array<double>"), "quality-features")
     model = fit_qda(table, labels, ~held_out)

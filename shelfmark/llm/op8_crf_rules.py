@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.linestats import DIGIT, LETTER, NEWLINE, PUNCT, SPACE, STOP, SYMBOL, UPPER, LineStats, line_stats, repeated_window_words
-from shelfmark.llm.words import documents, per_batch
+from shelfmark.llm.words import documents, per_batch, portions
 from shelfmark.session import ship_package
 
 BOILERPLATE, CONTENT = 0, 1
@@ -163,9 +163,12 @@ def fit_line_crf(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_T
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def features(batch):
-        stats = line_stats([t or "" for t in batch.column("text").to_pylist()])
-        matrix, offsets = line_features(stats).astype(np.float32), stats.line_offsets
-        return {"quality": batch.column("quality"), "lines": [matrix[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]}
+        lines = []
+        for part in portions([t or "" for t in batch.column("text").to_pylist()]):
+            stats = line_stats(part)
+            matrix, offsets = line_features(stats).astype(np.float32), stats.line_offsets
+            lines += [matrix[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        return {"quality": batch.column("quality"), "lines": lines}
 
     rows = per_batch(texts, features, "quality int, lines binary").limit(2 * max_train_docs).collect()
     if len({r.quality for r in rows}) < 2:
@@ -179,7 +182,12 @@ def fit_line_crf(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_T
 
 
 def judge_texts(texts: list[str], crf: LineCrf | None, min_content: float) -> dict[str, np.ndarray]:
-    """Base rules and the verdict of the field for each text."""
+    """Base rules and the verdict of the field for each text; there must be one."""
+    parts = [_judge(part, crf, min_content) for part in portions(texts)]
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+
+
+def _judge(texts: list[str], crf: LineCrf | None, min_content: float) -> dict[str, np.ndarray]:
     stats = line_stats(texts)
     n_words, repeated, _ = repeated_window_words(texts)
     labels = np.full(len(stats.words), CONTENT) if crf is None else crf.decode(line_features(stats), stats.line_offsets)

@@ -80,6 +80,19 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def portions(texts: list[str], characters: int = 4_000_000):
+    """Slices of ``texts`` of at most so many characters, or of one longer text. Arrays over
+    characters and words stay small whatever the size of an Arrow batch."""
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        if i > first and held + len(text) > characters:
+            yield texts[first:i]
+            first, held = i, 0
+        held += len(text)
+    if texts:
+        yield texts[first:]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
