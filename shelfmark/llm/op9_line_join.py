@@ -10,6 +10,9 @@ any earlier class that is similar to it, so one similar earlier class is enough.
 asks the earliest and the preceding holder of the smallest and of the largest hash of a line:
 that settles nearly all of a group of many near copies at a linear cost. The join by prefixes
 then asks every earlier holder for the rest, and is exact whatever the first round found.
+
+A line of few distinct words has no set to speak of. It is the sequence of its words: if it is
+long, it goes where it equals an earlier one.
 """
 
 from __future__ import annotations
@@ -21,8 +24,12 @@ from shelfmark.functions.common import let
 from shelfmark.llm.words import documents, store
 
 PERCENT = 80
-#: Lines of fewer distinct words are left alone: a short line that recurs is not a copy.
+#: Lines of fewer distinct words are not compared as sets.
 MIN_WORDS = 5
+#: Of those, lines of so many words in all (or characters of a script without spaces), or of so
+#: many characters, go where they equal an earlier one. Others are short: one that recurs may
+#: be no copy.
+EXACT_WORDS, EXACT_CHARS = 10, 60
 #: Bits of the token hash by which frequencies are counted.
 RARITY_BITS = 17
 #: Documents, and line numbers in all, of a table that may be broadcast; a larger one is
@@ -31,6 +38,10 @@ BROADCAST_DOCS, BROADCAST_LINES = 1_000_000, 4_000_000
 
 #: Fixed: the white space that separates words within a line.
 SPACES = "[ \t\x0b\f\r]+"
+#: Fixed: all but the characters of scripts that put no space between words.
+SPACED = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]+"
+#: What a line is: compared as a set, by equality alone, or short.
+SET, EXACT, SHORT = 0, 1, 2
 #: Stands for a null doc_id, which comes before all others.
 NULL_ID = -(1 << 63)
 
@@ -38,9 +49,26 @@ _BELOW = 63 - RARITY_BITS
 _MASK = (1 << _BELOW) - 1
 
 
+def all_words(line: Column) -> Column:
+    """Lower-cased words, as 64-bit hashes."""
+    return F.transform(F.array_remove(F.split(line, SPACES), ""), lambda w: F.xxhash64(w))
+
+
 def line_words(line: Column) -> Column:
     """Distinct lower-cased words, as 64-bit hashes."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(line, SPACES), ""), lambda w: F.xxhash64(w)))
+    return F.array_distinct(all_words(line))
+
+
+def _sorted_out(line: Column) -> Column:
+    """What a line is, its distinct words if it is a set, and else hashes of its words in order."""
+    few = lambda every: (
+        F.when(F.size(every) == 0, F.lit(None))
+        .when((F.size(every) + F.length(F.regexp_replace(line, SPACED, "")) >= EXACT_WORDS) | (F.length(F.regexp_replace(line, SPACES, "")) >= EXACT_CHARS), EXACT)
+        .otherwise(SHORT)
+    )
+    by_set = lambda words: F.struct(F.lit(SET).alias("kind"), words.alias("w"), F.lit(None).cast("long").alias("e1"), F.lit(None).cast("long").alias("e2"))
+    in_order = lambda every: F.struct(few(every).alias("kind"), F.array().cast("array<bigint>").alias("w"), F.xxhash64(F.lit(2), every).alias("e1"), F.xxhash64(F.lit(3), every).alias("e2"))
+    return let(all_words(line), lambda every: let(F.array_distinct(every), lambda words: F.when(F.size(words) >= MIN_WORDS, by_set(words)).otherwise(in_order(every))))
 
 
 def _bucket(hashed: Column) -> Column:
@@ -68,30 +96,32 @@ def _tokens(words: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(words, token))
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """One row per line of ``docs`` (d, text) with enough words: place (d, l), hash of its set,
-    size, prefix, bitmap, smallest and largest hash."""
+def line_table(docs: DataFrame, short: bool = False) -> DataFrame:
+    """One row per line of ``docs`` (d, text) that holds a word, short ones on demand: place
+    (d, l), kind, hash of its set or sequence; size, prefix, bitmap, smallest and largest hash of
+    a set."""
     ranks = rarity_ranks(docs)
     # posexplode_outer and a filter: with posexplode the optimizer copies the split below it.
     opened = docs.select("d", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("l", "line")).where("line IS NOT NULL")
-    # The array goes through a generator, else the filter would evaluate it once more below.
-    words = opened.select("d", "l", F.explode_outer(F.array(line_words(F.col("line")))).alias("w")).where(F.size("w") >= MIN_WORDS)
+    # The struct goes through a generator, else the filter would evaluate it once more below.
+    words = opened.select("d", "l", F.explode_outer(F.array(_sorted_out(F.col("line")))).alias("s")).where(F.col("s.kind") <= (SHORT if short else EXACT)).select("d", "l", "s.*")
     ends = F.struct(F.array_min("w").alias("low"), F.array_max("w").alias("high"))
-    lines = words.select("d", "l", _tokens(F.col("w"), ranks).alias("t"), ends.alias("ends"))
+    lines = words.select("d", "l", "kind", "e1", "e2", _tokens(F.col("w"), ranks).alias("t"), ends.alias("ends"))
     n = F.size("t")
     one = F.lit(1).cast("long")
     bits = F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
     keep = n - F.floor((PERCENT * n + 99) / 100).cast("int") + 1
-    return lines.select("d", "l", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), n.alias("n"), F.slice("t", F.lit(1), keep).alias("prefix"), bits.alias("bits"), "ends")
+    h1, h2 = F.coalesce("e1", F.xxhash64("t")), F.coalesce("e2", F.xxhash64(F.lit(1), "t"))
+    return lines.select("d", "l", "kind", h1.alias("h1"), h2.alias("h2"), n.alias("n"), F.slice("t", F.lit(1), keep).alias("prefix"), bits.alias("bits"), "ends")
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
-    """One row per distinct set: first place (d, l), number of lines, and what belongs to the
-    set. Equal lines are merged before the shuffle, so one of a third of all rows is none."""
+    """One row per distinct line: kind, first place (d, l), number of lines, and what belongs to
+    the set. Equal lines are merged before the shuffle, so one of a third of all rows is none."""
     firsts = lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("d", "l")).alias("at"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("ends").alias("ends")
+        F.first("kind").alias("kind"), F.min(F.struct("d", "l")).alias("at"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("ends").alias("ends")
     )
-    return firsts.select("h1", "h2", "at.d", "at.l", "copies", "n", "prefix", "bits", "ends")
+    return firsts.select("h1", "h2", "kind", "at.d", "at.l", "copies", "n", "prefix", "bits", "ends")
 
 
 def _bound(n: Column, m: Column, apart: Column) -> Column:
@@ -150,28 +180,46 @@ def similar_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return settled.unionByName(_verified(joined.select("xd", "xl", "yd", "yl"), docs))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def _with_short(lines: DataFrame, classes: DataFrame, gone: DataFrame) -> DataFrame:
+    """``gone`` (d, ls) and the short lines that went along with copies: those between removed
+    lines, or between one and an end of the document, that equal an earlier line."""
+    held = lines.join(F.broadcast(gone.select("d")) if _small(gone) else gone.select("d"), "d", "left_semi")
+    held = held.groupBy("d").agg(F.sort_array(F.collect_set(F.struct("l", "kind"))).alias("held")).join(gone, "d")
+    # r: removed, k: kept, c: short, which becomes s in a run that begins or ends at a k.
+    marks = F.array_join(F.transform("held", lambda x: F.when(F.array_contains("ls", x["l"]), "r").when(x["kind"] == SHORT, "c").otherwise("k")), "")
+    for _ in range(2):
+        marks = F.reverse(F.regexp_replace(marks, r"\G(?!^)c|(?<=k)c", "s"))
+    marked = held.select("d", F.explode_outer(F.arrays_zip(F.col("held.l").alias("l"), F.split(marks, "").alias("mark"))).alias("x"))
+    between = marked.where("x.mark = 'c'").select("d", "x.l")
+    copies = between.join(classes.where(F.col("kind") == SHORT).select("d", "l"), ["d", "l"], "left_anti")
+    return gone.select("d", F.explode("ls").alias("l")).unionByName(copies).groupBy("d").agg(F.collect_set("l").alias("ls"))
+
+
+def repeated_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """Numbers ``ls`` of the lines to remove from each document ``d`` of ``docs`` (d, text)."""
-    lines = store(line_table(docs), "lines")
+    lines = store(line_table(docs, short), "lines")
     classes = store(line_classes(lines), "line-classes")
-    similar = store(similar_classes(docs, classes), "similar-lines")
-    several = classes.where("copies > 1").select("h1", "h2", F.col("d").alias("fd"), F.col("l").alias("fl"))
-    later = lines.select("h1", "h2", "d", "l").join(several, ["h1", "h2"]).where("d <> fd OR l <> fl").select("d", "l")
-    return store(later.unionByName(similar).groupBy("d").agg(F.collect_set("l").alias("ls")), "repeated-lines")
+    similar = store(similar_classes(docs, classes.where(F.col("kind") == SET)), "similar-lines")
+    several = classes.where((F.col("copies") > 1) & (F.col("kind") < SHORT)).select("h1", "h2", F.col("d").alias("fd"), F.col("l").alias("fl"))
+    later = lines.where(F.col("kind") < SHORT).select("h1", "h2", "d", "l").join(several, ["h1", "h2"]).where("d <> fd OR l <> fl").select("d", "l")
+    gone = store(later.unionByName(similar).groupBy("d").agg(F.collect_set("l").alias("ls")), "repeated-lines")
+    return store(_with_short(lines, classes, gone), "repeated-with-short") if short else gone
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """All columns of ``docs``, with ``text`` less its repeated lines, and ``n_lines``,
     ``n_removed`` (in place of columns that already have these names).
 
     A line of at least MIN_WORDS distinct words goes if an earlier line of the corpus, by
     doc_id and place, has a Jaccard similarity of 0.8 or more with it (whether or not that one
-    goes too). Shorter lines stay. Null texts stay null and have no line; an empty text has
+    goes too); one of fewer distinct words that is long (EXACT_WORDS, EXACT_CHARS) goes if it
+    equals an earlier one. Short lines stay; with ``short`` those go that equal an earlier line
+    and have nothing but removed lines next to them, short ones passed over. Null texts stay null and have no line; an empty text has
     one. Rows with one doc_id are one document: what is removed from one is removed from all.
     A null doc_id comes before all others.
     """
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    gone = repeated_lines(docs.select(place.alias("d"), "text"))
+    gone = repeated_lines(docs.select(place.alias("d"), "text"), short)
     rows = docs.select(place.alias("d"), "text", F.struct(*docs.columns).alias("row"))
     rows = rows.join(F.broadcast(gone) if _small(gone) else gone, "d", "left")
     left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("ls", i))

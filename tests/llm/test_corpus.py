@@ -152,6 +152,15 @@ def test_lines_of_odd_rows(spark, odd, none):
     assert sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(again).collect()) == [(1, "K l m N o\nshort line", 0)] * 2 + [(2, "", 1)]
 
 
+
+def test_long_lines_of_few_words(spark):
+    script = "".join(chr(0x4E00 + 7 * i) for i in range(14))
+    lines = ["buy now " * 30, script, "x" * 60, "oh no"]
+    found = dedup_lines(spark.createDataFrame([(i, "\n".join([*lines, f"end {i}"])) for i in range(3)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in found} == {0: "\n".join([*lines, "end 0"]), 1: "oh no\nend 1", 2: "oh no\nend 2"}
+    assert {r.n_removed for r in found if r.doc_id} == {3}
+
+
 # ------------------------------------------------------------------ benchmark
 
 
