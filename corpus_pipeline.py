@@ -23,8 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of lines go; so do documents of which no word is left by that."""
-    out = dedup_lines(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
+    """Later copies of lines go, with the short lines that they hold; so do documents of which
+    no word is left by that."""
+    out = dedup_lines(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), short=True)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     out = out.where(~F.coalesce(emptied, F.lit(False)))
 

@@ -486,6 +486,24 @@ def test_pipeline_equals_plain_stages(spark, texts):
         assert parts.length.sum() == len(ids_of(held[doc], "word_bpe_49k.json", 1))
 
 
+def test_short_lines_go_with_their_copy(spark):
+    import corpus_pipeline as pipeline
+
+    one, two, three = (" ".join(f"{x}{i}" for i in range(10)) for x in "pqr")
+    rows = [
+        (1, f"Les.\n{one}\nAnd so.\n\n{two}\nEnd."),
+        (2, f"Les.\n{one}\nAnd so.\n\n{two}\nEnd."),  # an exact copy
+        (3, f"les.\n{one} more\nAnd  so.\n{two}\nEnd."),  # a near copy
+        (4, f"Les.\n{one}\nEnd.\n{three}\nEnd."),  # short lines on the side of a kept line stay
+        (5, f"{one}\nNew here.\n{two}"),  # so does a short line that nothing equals
+        (6, "Les.\nEnd."),  # and one without a copy beside it
+    ]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    found = {r.doc_id: (r.text, r.n_chars) for r in pipeline.line_dedup(spark, docs, "").collect()}
+    expected = {1: rows[0][1], 4: f"End.\n{three}\nEnd.", 5: "New here.", 6: "Les.\nEnd."}
+    assert found == {i: (t, len(t)) for i, t in expected.items()}
+
+
 def test_without_ids(spark, odd):
     ids = spark.createDataFrame([(4, "x"), (None, "y"), (4, "z")], "doc_id long, text string")
     for most in (10, 0):
