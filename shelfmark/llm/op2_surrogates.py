@@ -46,6 +46,8 @@ _HINT = re.compile(r"[0-9@]|(?<!\w)(?:" + "|".join(map(re.escape, _GENDER)) + r"
 
 #: Letters of surrogates by script, consonants and vowels.
 _LETTERS = {"LATIN": ("bdfgklmnprstvz", "aeiou"), "CYRILLIC": ("бвгдзклмнпрст", "аеиоу"), "GREEK": ("βγδκλμνπρστ", "αειου")}
+#: Country codes of two digits; those of one are 1 and 7, all others have three.
+_TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 #: Endings of given names by gender; all begin with a letter that no other gender ends on.
 _ENDINGS = {"LATIN": {"f": "a", "m": "n", "n": "e"}, "CYRILLIC": {"f": "а", "m": "н", "n": "и"}, "GREEK": {"f": "α", "m": "ς", "n": "ι"}}
 
@@ -73,7 +75,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
 def canonical(kind: str, value: str) -> str:
     """What is one entity however it is written: digits of numbers, lower-cased letters."""
     if kind in ("phone", "card", "ssn"):
-        return re.sub(r"\D", "", value)
+        return "+" * (kind == "phone" and value[0] == "+") + re.sub(r"\D", "", value)
     return value if kind == "secret" else re.sub(r"\s", "", value).casefold()
 
 
@@ -119,23 +121,34 @@ def _refill(value: str, digits: str) -> str:
     return "".join(next(fresh) if c.isdigit() else c for c in value)
 
 
+def _country(digits: str) -> int:
+    """Digits of the country code that an international number begins with."""
+    return 1 if digits[0] in "17" else 2 if digits[:2] in _TWO_DIGIT_CODES else 3
+
+
+def _cased(made: str, value: str) -> str:
+    """Letters in the case of those that they stand for, where the lengths are the same."""
+    return "".join(m.upper() if v.isupper() else m for m, v in zip(made, value, strict=True)) if len(made) == len(value) else made
+
+
 def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
-    """The replacement of an occurrence. Depends on the canonical value, the attempt and the
-    key; only layout (spaces, case of a name or an address) follows the occurrence."""
+    """The replacement of an occurrence. Made from the canonical value, the attempt and the
+    key alone, then laid out (spaces, case of a name or an address) as the occurrence is."""
     whole = canonical(kind, value)
     stream = _Stream(key, kind, whole, attempt)
     if kind == "email":
-        local, _, domain = value.partition("@")
-        shared = _Stream(key, "domain", domain.casefold(), attempt)
+        local, _, domain = whole.partition("@")
+        shared = _Stream(key, "domain", domain, attempt)
         host = _same_format(domain.split(".")[0], shared)
-        return f"{_same_format(local, stream)}@{host}.example.{'org' if domain.casefold().endswith('org') else 'com'}"
+        written, _, at = value.partition("@")
+        return f"{_cased(_same_format(local, stream), written)}@{_cased(host, at.split('.')[0])}.example.{'org' if domain.endswith('org') else 'com'}"
     if kind == "ip":
         low = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
         return ".".join(str(a + stream.below(b - a + 1)) for a, b in (low[len(part)] for part in value.split(".")))
     if kind in ("phone", "card", "ssn"):
-        prefix = re.match(r"\+(\d{1,3})\D", value)
-        kept = len(prefix[1]) if prefix else 1 if kind == "card" else 0
-        digits = whole[:kept] + "".join(stream.of("0123456789") for _ in whole[kept:])
+        old = whole.lstrip("+")
+        kept = _country(old) if whole != old else 1 if kind == "card" else 0
+        digits = old[:kept] + "".join(stream.of("0123456789") for _ in old[kept:])
         if kind == "card" and (_luhn(whole) == 0) != (_luhn(digits) == 0):
             # The last digit makes the check right; one more makes it wrong.
             last = (int(digits[-1]) - _luhn(digits)) % 10
@@ -150,9 +163,10 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
             return head + "".join(stream.of(hexes) for _ in rest)
         return head + _same_format(rest, stream)
     if kind == "iban":
-        return value[:2] + _same_format(value[2:], stream)
+        fresh = iter(whole[:2].upper() + _same_format(whole[2:].upper(), stream))
+        return "".join(c if c.isspace() else next(fresh) for c in value)
     # Names: syllables of the same script, about as long, ending by gender.
-    script = _script(value[0])
+    script = _script(whole[0])
     gender = kind[-1] if kind != "surname" else "f" if script == "CYRILLIC" and whole[-1] == "а" else "n"
     size = max(4, min(10, len(whole))) + attempt
     letters = "".join(stream.of(_LETTERS[script][i % 2]) for i in range(size - 1))
@@ -162,43 +176,55 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     return name.upper() if value.isupper() and len(value) > 1 else name[0].upper() + name[1:]
 
 
-def _replaced(text: str, later: dict[tuple[str, str], int], key: bytes) -> tuple[str, int]:
+def _replaced(text: str, later: dict[tuple[str, str], tuple[str, int]], key: bytes) -> tuple[str, int]:
     parts, at, found = [], 0, entities(text)
     for start, end, kind, value in found:
-        parts += [text[at:start], surrogate(kind, value, later.get((kind, canonical(kind, value)), 0), key)]
+        meant, attempt = later.get((kind, canonical(kind, value)), (kind, 0))
+        parts += [text[at:start], surrogate(meant, value, attempt, key)]
         at = end
     return "".join(parts) + text[at:], len(found)
 
 
+def _meant(seen: DataFrame) -> DataFrame:
+    """kind, value, meant: a given name after a title without gender is the one of the gender
+    that the corpus has it with, if that is one only."""
+    gendered = seen.where(F.col("kind").isin("given_m", "given_f")).groupBy("value").agg(F.min("kind").alias("one"), F.max("kind").alias("other"))
+    sure = gendered.where("one = other").select(F.lit("given_n").alias("kind"), "value", "one")
+    return seen.join(sure, ["kind", "value"], "left").select("kind", "value", F.coalesce("one", "kind").alias("meant"))
+
+
 def later_attempts(docs: DataFrame, key: bytes) -> DataFrame:
-    """kind, value, attempt of the entities that cannot have their first surrogate."""
+    """kind, value, meant, attempt of the entities that cannot have the first surrogate of
+    their kind: it has to be that of kind ``meant`` and of a later attempt."""
 
     def find(batch):
-        pairs = [sorted({(k, canonical(k, v)) + (v,) for _, _, k, v in entities(t or "")}) for t in batch.column("text").to_pylist()]
+        pairs = [sorted({(k, canonical(k, v)) for _, _, k, v in entities(t or "")}) for t in batch.column("text").to_pylist()]
         flat = [p for ps in pairs for p in ps]
-        return {"kind": [p[0] for p in flat], "value": [p[1] for p in flat], "shown": [p[2] for p in flat]}
+        return {"kind": [p[0] for p in flat], "value": [p[1] for p in flat]}
 
-    seen = per_batch(docs.select("text"), find, "kind string, value string, shown string")
-    rows = seen.groupBy("kind", "value").agg(F.min("shown").alias("shown"))
+    seen = store(per_batch(docs.select("text"), find, "kind string, value string").distinct(), "seen")
+    meant = store(_meant(seen), "meant")
+    rows = meant.select(F.col("meant").alias("kind"), "value").distinct()
     table = store(rows.withColumn("attempt", F.lit(0)), "entities")
     values = table.select("kind", F.col("value").alias("fake"))
 
     def make(batch):
-        cells = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
-        fakes = [canonical(k, surrogate(k, shown, n, key)) for k, _, shown, n in cells]
-        return {name: batch.column(name) for name in ("kind", "value", "shown", "attempt")} | {"fake": fakes}
+        cells = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+        fakes = [canonical(k, surrogate(k, value, n, key)) for k, value, n in cells]
+        return {name: batch.column(name) for name in ("kind", "value", "attempt")} | {"fake": fakes}
 
     while True:
-        made = store(per_batch(table, make, "kind string, value string, shown string, attempt int, fake string"), "surrogates")
+        made = store(per_batch(table, make, "kind string, value string, attempt int, fake string"), "surrogates")
         # Of those that share one, the smallest keeps it.
         owners = made.groupBy("kind", "fake").agg(F.min("value").alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n")
         taken = made.join(values, ["kind", "fake"], "left_semi").select("kind", "value")
         shared = made.join(owners, ["kind", "fake"]).where("value <> owner").select("kind", "value")
         clashes = store(taken.unionByName(shared).distinct().withColumn("again", F.lit(1)), "clashes")
         if not clashes.limit(1).count():
-            return made.where("attempt > 0").select("kind", "value", "attempt")
+            tried = made.select(F.col("kind").alias("meant"), "value", "attempt")
+            return meant.join(tried, ["meant", "value"]).where("attempt > 0 OR meant <> kind").select("kind", "value", "meant", "attempt")
         nexts = made.drop("fake").join(clashes, ["kind", "value"], "left")
-        table = store(nexts.select("kind", "value", "shown", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt")), "entities")
+        table = store(nexts.select("kind", "value", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt")), "entities")
 
 
 def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
@@ -211,8 +237,8 @@ def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known: dict[tuple[str, str], int] = {}
     if later.limit(MOST_BY_VALUE + 1).count() <= MOST_BY_VALUE:
-        known = {(r.kind, r.value): r.attempt for r in later.collect()}
-        rows = rows.withColumn("later", F.array().cast("array<struct<kind:string,value:string,attempt:int>>"))
+        known = {(r.kind, r.value): (r.meant, r.attempt) for r in later.collect()}
+        rows = rows.withColumn("later", F.array().cast("array<struct<kind:string,value:string,meant:string,attempt:int>>"))
     else:
         # Too many to send: each text meets those that it holds.
         def held(batch):
@@ -220,13 +246,13 @@ def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
             return {"digest": [hashlib.md5(t.encode("utf-8", "surrogatepass")).hexdigest() for t, _, _ in pairs], "kind": [p[1] for p in pairs], "value": [p[2] for p in pairs]}
 
         found = per_batch(docs.select("text"), held, "digest string, kind string, value string").distinct()
-        lists = found.join(later, ["kind", "value"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("later"))
+        lists = found.join(later, ["kind", "value"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "value", "meant", "attempt")).alias("later"))
         rows = rows.withColumn("digest", F.md5("text")).join(lists, "digest", "left").select("doc_id", "text", "later")
 
     def replace(batch):
         texts, counts = [], []
         for text, own in zip(batch.column("text").to_pylist(), batch.column("later").to_pylist(), strict=True):
-            extra = {(x["kind"], x["value"]): x["attempt"] for x in own or ()}
+            extra = {(x["kind"], x["value"]): (x["meant"], x["attempt"]) for x in own or ()}
             new, n = _replaced(text, extra or known, key) if text else (text, 0)
             texts.append(new)
             counts.append(n)

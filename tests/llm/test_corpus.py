@@ -358,6 +358,22 @@ def test_surrogates_keep_kind_and_format():
     assert all("а" <= c <= "я" for c in new["surname", "Петрова"].lower())
 
 
+def test_one_surrogate_in_all_layouts(spark):
+    groups = [
+        ("phone", "+1 (017) 555-3138", "+10175553138", "+1-017-555-3138"),
+        ("iban", "GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819"),
+        ("email", "Max.Weiß@mail1.example.com", "max.weiss@MAIL1.example.com"),
+        ("card", "4111 1111 1111 1111", "4111111111111111"),
+    ]
+    for kind, *forms in groups:
+        assert all(entities(f)[0][2:] == (kind, f) for f in forms)
+        fakes = {canonical(kind, surrogate(kind, f, 0, KEY)) for f in forms}
+        assert len(fakes) == 1 and fakes == {canonical(kind, surrogate(kind, canonical(kind, forms[0]), 0, KEY))}
+    rows = [(1, "Dr Anna Berg wrote"), (2, "Mrs Anna Berg wrote"), (3, "Prof Andrea Berg wrote"), (4, "Mr Andrea Berg wrote"), (5, "Mrs Andrea Berg wrote")]
+    new = {r.doc_id: r.text.split(" ")[1] for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    assert new[1] == new[2] != "Anna" and new[1][-1] == "a" and len({new[3], new[4], new[5]}) == 3
+
+
 def test_no_entity_is_left(spark, texts):
     pattern = r"[\w.]+@mail\d\.example\.com|(?<!\d)\d{16}(?!\d)|\"[0-9a-f]{40}\"|\+1 \(\d{3}\) 555-\d{4}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])"
     rows = {r.doc_id: r for r in op2_surrogates(spark, str(TESTDATA)).collect()}
