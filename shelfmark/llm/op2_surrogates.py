@@ -3,13 +3,15 @@
 Entities are found by patterns and replaced by values of the same kind and format, made from a
 secret key: one entity has one surrogate throughout the corpus (coreference), and two entities
 have two (distinctness). A surrogate follows the script, the case and the punctuation of what it
-replaces, names the gender too; card numbers keep their check digit valid. Distinctness is
+replaces, names the gender too; card numbers keep their check digit valid. A person is found
+after a title, and then wherever the document has one of the names by itself. Distinctness is
 checked over the whole corpus: of entities that share a surrogate all but the smallest, and any
 whose surrogate is itself an entity that occurs, are given their next one, until none is left.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -30,13 +32,16 @@ TITLES = {
 }
 _GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+#: Between two digits of an international number.
+_GAP = r"(?:[ \t\xa0]?[-‐-―/()]{1,2}[ \t\xa0]?|[ \t\xa0.]?)"
 _PATTERNS = {
     "email": r"[\w.+-]*\w@\w[\w-]*(?:\.\w[\w-]*)+",
     "secret": r"(?i:(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<held>[\w+/=-]{8,})|(?<!\w)(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_\w{20,}|sk-\w{20,})(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[^\w\n]{1,5})\(?\d{2,4}[^\w\n]{1,5}\d{3,4}[^\w\n]{1,4}\d{3,4}(?!\w)|(?<!\w)\+\d{9,14}(?!\w)|(?<!\w)\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)",
+    # With country code 1 ten digits more; others of 7 to 15 digits in any groups.
+    "phone": r"(?<![\w+])\+(?:1(?:" + _GAP + r"\d){10}|(?!1" + _GAP + r"(?:\d" + _GAP + r"){9}\d(?!\w))\(?\d(?:" + _GAP + r"\d){6,14})(?!\w)|(?<![\w+])(?:\+\d{1,3}[^\w\n]{1,5})\(?\d{2,4}[^\w\n]{1,5}\d{3,4}[^\w\n]{1,4}\d{3,4}(?!\w)|(?<!\w)\+\d{9,14}(?!\w)|(?<!\w)\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)",
     "card": r"(?<!\w)(?:\d{4}[ -]?){3}\d{1,7}(?!\w)|(?<!\w)\d{13,19}(?!\w)",
     "name": r"(?<!\w)(?P<title>" + "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True)) + r")\.?[ \t]+(?P<named>" + _NAME + r"(?:[ \t]+" + _NAME + r"){0,2})",
 }
@@ -56,20 +61,43 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, value) in order; a person's given names and surname are one each."""
     if not _HINT.search(text):
         return []
-    out = []
+    out, titled = [], {}
     for m in _ENTITY.finditer(text):
         kind = next(k for k in _PATTERNS if m[k] is not None)
         if kind == "name":
             parts = list(re.finditer(r"[^ \t]+", m["named"]))
             gender, base = _GENDER[m["title"]], m.start("named")
             for i, part in enumerate(parts):
+                name = re.sub(r"['’]s$", "", part[0])
                 # A surname is the same for all of a family where its form does not differ.
                 sort = f"given_{gender}" if i < len(parts) - 1 else "surname"
-                out.append((base + part.start(), base + part.end(), sort, part[0]))
+                out.append((base + part.start(), base + part.start() + len(name), sort, name))
+                titled.setdefault(name.casefold(), {})[sort] = name
         else:
             span = m.span("held") if m["held"] is not None else m.span()
             out.append((*span, kind, text[span[0] : span[1]]))
-    return out
+    return _with_mentions(text, out, titled) if titled else out
+
+
+def _with_mentions(text: str, found: list[tuple[int, int, str, str]], titled: dict[str, dict[str, str]]) -> list[tuple[int, int, str, str]]:
+    """``found`` and what else in the text is a name of a person found after a title, by
+    folded name the sorts that it has. Written with a capital, or in capitals."""
+    forms = {form: sorts for sorts in titled.values() for name in sorts.values() for form in (name, name.upper(), name.title())}
+    pattern = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(forms, key=len, reverse=True))) + r")(?!\w)")
+    starts, more = [f[0] for f in found], []
+    for m in pattern.finditer(text):
+        i = bisect.bisect_left(starts, m.end()) - 1
+        if i < 0 or found[i][1] <= m.start():
+            more.append(m)
+    follows = {b.start(): b for b in more}
+    for m in more:
+        sorts = forms[m[0]]
+        given = sorted((x for x in sorts if x != "surname"), key=lambda x: x == "given_n")
+        gap = re.compile(r"[ \t]+").match(text, m.end())
+        after = follows.get(gap.end()) if gap else None
+        first = given and (len(given) == len(sorts) or after is not None and "surname" in forms[after[0]])
+        found.append((*m.span(), given[0] if first else "surname", m[0]))
+    return sorted(found)
 
 
 def canonical(kind: str, value: str) -> str:

@@ -374,6 +374,21 @@ def test_one_surrogate_in_all_layouts(spark):
     assert new[1] == new[2] != "Anna" and new[1][-1] == "a" and len({new[3], new[4], new[5]}) == 3
 
 
+def test_mentions_without_title_and_phone_groupings(spark):
+    text = "Smith left. Mr John Smith's car. Smith said so, JOHN SMITH too; Johnson, smith and Smithy stay. Ask john.Smith@mail1.example.com"
+    other = "John Smith has no title here."
+    phones = ["+33 1 23 45 67 89", "+49 30 123456", "+44 (20) 7946-0958", "+4915112345678", "+1 202.555.0143", "+358 9 1234567"]
+    rows = [(1, text), (2, other), *[(i, f"Call {x}, 24 hours. +5 and +12 34.") for i, x in enumerate(phones, 3)]]
+    new = {r.doc_id: r for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    given, sur = re.search(r"Mr (\w+) (\w+)'s car", new[1].text).groups()
+    assert new[1].text.startswith(f"{sur} left. Mr {given} {sur}'s car. {sur} said so, {given.upper()} {sur.upper()} too; Johnson, smith and Smithy stay. Ask ")
+    assert new[1].n_entities == 7 and new[2].text == other
+    for i, x in enumerate(phones, 3):
+        assert re.fullmatch(re.sub(r"\\?\d", r"\\d", re.escape(x)), new[i].text[5:].split(", 24")[0]) and x not in new[i].text
+        assert new[i].text.endswith(", 24 hours. +5 and +12 34.") and new[i].n_entities == 1
+    assert [e[3] for e in entities("+1 202 555 0143 42 times")] == ["+1 202 555 0143"]
+
+
 def test_no_entity_is_left(spark, texts):
     pattern = r"[\w.]+@mail\d\.example\.com|(?<!\d)\d{16}(?!\d)|\"[0-9a-f]{40}\"|\+1 \(\d{3}\) 555-\d{4}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])"
     rows = {r.doc_id: r for r in op2_surrogates(spark, str(TESTDATA)).collect()}
