@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from shelfmark.llm.op10_fm_index import op10_fm_index
+from shelfmark.llm.op11_reply_trees import SQL as REPLY_SQL
+from shelfmark.llm.op11_reply_trees import op11_reply_trees
+from shelfmark.llm.op12_grammar_runs import op12_grammar_runs
+from shelfmark.llm.op13_rmq_search import SQL as SEARCH_SQL
+from shelfmark.llm.op13_rmq_search import op13_rmq_search
 from shelfmark.llm.op1_qda_quality import op1_qda_quality
 from shelfmark.llm.op2_surrogates import op2_surrogates
 from shelfmark.llm.op3_delta_rollups import SQL as ROLLUP_SQL
@@ -27,6 +32,9 @@ QUERIES = {
     "op8_line_crf": op8_line_crf,
     "op9_line_join": op9_line_join,
     "op10_fm_index": op10_fm_index,
+    "op11_reply_trees": op11_reply_trees,
+    "op12_grammar_runs": op12_grammar_runs,
+    "op13_rmq_search": op13_rmq_search,
 }
 
-SQL = {"op9_line_join": LINE_SQL, "word_rollups": ROLLUP_SQL}
+SQL = {"op9_line_join": LINE_SQL, "op11_reply_trees": REPLY_SQL, "op13_rmq_search": SEARCH_SQL, "word_rollups": ROLLUP_SQL}
