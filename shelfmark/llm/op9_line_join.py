@@ -3,13 +3,17 @@
 A line is the set of its words. Its tokens are ordered by rarity, and only a prefix of the
 rarest is indexed: two lines of Jaccard similarity 0.8 must share a token of their prefixes.
 Length, the position of the shared token and a bitmap of each line bound the overlap from above
-before anything is verified; the Jaccard similarity is then taken over all words of both lines.
-
-Lines with equal sets are one class, known by its first place in the corpus. A class falls to
-any earlier class that is similar to it, so one similar earlier class is enough. A first round
-asks the earliest and the preceding holder of the smallest and of the largest hash of a line:
+before anything is verified. A long line shares some rare token with very many others, and its
+bitmap says little. There two tokens that follow each other in the order of rarity make a key: of
+n tokens at most 2(n-o) + (m-o) such pairs are lost to a line of m tokens that has o of them, which
+is at most 0.4n, so two similar long lines share a pair in a prefix of 0.4n + 2. The Jaccard
+similarity is then taken over all words of both lines.
+
+Lines with equal words in equal order are one class, known by its first place in the corpus. A
+class falls to any earlier class that is similar to it, so one similar earlier class is enough. A
+first round asks the earliest class with the smallest, and with the largest, hash in its prefix:
 that settles nearly all of a group of many near copies at a linear cost. The join by prefixes
-then asks every earlier holder for the rest, and is exact whatever the first round found.
+then asks every earlier holder of a token for the rest, and is exact whatever the first round found.
 
 A line of few distinct words has no set to speak of. It is the sequence of its words: if it is
 long, it goes where it equals an earlier one.
@@ -17,7 +21,7 @@ long, it goes where it equals an earlier one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.common import let
@@ -30,10 +34,14 @@ MIN_WORDS = 5
 #: many characters, go where they equal an earlier one. Others are short: one that recurs may
 #: be no copy.
 EXACT_WORDS, EXACT_CHARS = 10, 60
-#: Bits of the token hash by which frequencies are counted.
-RARITY_BITS = 17
+#: Bits of a word's hash by which frequencies are counted, and those that tell apart words of
+#: one frequency. Words that share a token cost a comparison, never a result.
+RARITY_BITS, WORD_BITS = 17, 14
+#: Lines of more distinct words are found by pairs of tokens; so are those that may be similar to
+#: one of them, besides.
+LONG_WORDS = 64
 #: Documents, and line numbers in all, of a table that may be broadcast; a larger one is
-#: joined by a shuffle instead.
+#: joined by a shuffle instead. So are more places than BROADCAST_DOCS.
 BROADCAST_DOCS, BROADCAST_LINES = 1_000_000, 4_000_000
 
 #: Fixed: the white space that separates words within a line.
@@ -45,13 +53,13 @@ SET, EXACT, SHORT = 0, 1, 2
 #: Stands for a null doc_id, which comes before all others.
 NULL_ID = -(1 << 63)
 
-_BELOW = 63 - RARITY_BITS
-_MASK = (1 << _BELOW) - 1
-
 
 def all_words(line: Column) -> Column:
     """Lower-cased words, as 64-bit hashes."""
-    return F.transform(F.array_remove(F.split(line, SPACES), ""), lambda w: F.xxhash64(w))
+    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\r"))
+    # Most lines have blanks alone, by which they are split without a regular expression.
+    words = F.when(odd, F.split(line, SPACES)).otherwise(F.split(line, " "))
+    return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
 
 
 def line_words(line: Column) -> Column:
@@ -59,69 +67,78 @@ def line_words(line: Column) -> Column:
     return F.array_distinct(all_words(line))
 
 
-def _sorted_out(line: Column) -> Column:
-    """What a line is, its distinct words if it is a set, and else hashes of its words in order."""
-    few = lambda every: (
-        F.when(F.size(every) == 0, F.lit(None))
-        .when((F.size(every) + F.length(F.regexp_replace(line, SPACED, "")) >= EXACT_WORDS) | (F.length(F.regexp_replace(line, SPACES, "")) >= EXACT_CHARS), EXACT)
-        .otherwise(SHORT)
-    )
-    by_set = lambda words: F.struct(F.lit(SET).alias("kind"), words.alias("w"), F.lit(None).cast("long").alias("e1"), F.lit(None).cast("long").alias("e2"))
-    in_order = lambda every: F.struct(few(every).alias("kind"), F.array().cast("array<bigint>").alias("w"), F.xxhash64(F.lit(2), every).alias("e1"), F.xxhash64(F.lit(3), every).alias("e2"))
-    return let(all_words(line), lambda every: let(F.array_distinct(every), lambda words: F.when(F.size(words) >= MIN_WORDS, by_set(words)).otherwise(in_order(every))))
-
-
 def _bucket(hashed: Column) -> Column:
-    return F.shiftrightunsigned(hashed, 64 - RARITY_BITS).cast("int")
+    return F.shiftrightunsigned(hashed, 64 - RARITY_BITS)
 
 
 def rarity_ranks(docs: DataFrame) -> Column:
-    """A constant array: for each hash bucket the rank of its frequency over all documents.
+    """A constant array: for each hash bucket the rank of its frequency over all documents, above
+    WORD_BITS other bits.
 
     Buckets are counted, not words, so the array has a fixed size; the rarest words are told
     apart by their hash. Any common order of tokens gives the same result.
     """
     word = F.explode(F.split(F.lower("text"), "[ \t\n\x0b\f\r]+"))
-    counts = docs.select(word.alias("w")).select(_bucket(F.xxhash64("w")).alias("b")).groupBy("b").count().collect()
+    counts = docs.select(word.alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("b")).count().collect()
     known = {r.b: r["count"] for r in counts}
     ranks = [0] * (1 << RARITY_BITS)
     for rank, b in enumerate(sorted(range(1 << RARITY_BITS), key=lambda b: (known.get(b, 0), b))):
-        ranks[b] = rank
-    return F.from_json(F.lit("[" + ",".join(map(str, ranks)) + "]"), "array<int>")
+        ranks[b] = rank << WORD_BITS
+    return F.from_json(F.lit("[" + ",".join(map(str, ranks)) + "]"), "array<bigint>")
 
 
 def _tokens(words: Column, ranks: Column) -> Column:
-    """Hashes as sorted 64-bit tokens: rank of the bucket above, the rest of the hash below."""
-    token = lambda h: F.shiftleft(F.get(ranks, _bucket(h)).cast("long"), _BELOW).bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
-    return F.sort_array(F.transform(words, token))
+    """Hashes as sorted tokens: rank of the bucket above, some other bits of the hash below."""
+    return F.sort_array(F.transform(words, lambda h: ranks[_bucket(h)].bitwiseOR(h.bitwiseAND(F.lit((1 << WORD_BITS) - 1)))))
+
+
+def _prefix(n: Column) -> Column:
+    """Tokens of a line of n that it must share one of with any similar line."""
+    return n - F.floor((PERCENT * n + 99) / 100).cast("int") + 1
+
 
+def _is_paired(n: Column) -> Column:
+    return 100 * n > PERCENT * LONG_WORDS
 
-def line_table(docs: DataFrame, short: bool = False) -> DataFrame:
-    """One row per line of ``docs`` (d, text) that holds a word, short ones on demand: place
-    (d, l), kind, hash of its set or sequence; size, prefix, bitmap, smallest and largest hash of
-    a set."""
+
+def _kept(n: Column) -> Column:
+    """Tokens of a line of n that are needed for its keys."""
+    return F.when(_is_paired(n), F.ceil(2 * (100 - PERCENT) * n / 100).cast("int") + 2).otherwise(_prefix(n))
+
+
+def _keys(n: Column, prefix: Column) -> Column:
+    """(i, key): place of each token of the prefix, and -1 for pairs of tokens."""
+    single = F.transform(F.slice(prefix, F.lit(1), _prefix(n)), lambda x, i: F.struct(i.alias("i"), x.alias("key")))
+    pairs = F.transform(F.slice(prefix, F.lit(1), F.size(prefix) - 1), lambda x, i: F.struct(F.lit(-1).alias("i"), F.xxhash64(x, F.get(prefix, i + 1)).alias("key")))
+    return F.when(~_is_paired(n), single).when(n > LONG_WORDS, pairs).otherwise(F.concat(single, pairs))
+
+
+def line_table(docs: DataFrame) -> DataFrame:
+    """One row per line of ``docs`` (d, text): place (d, l), kind (null without words), two hashes of
+    its words in order; size, prefix and bitmap of a set."""
     ranks = rarity_ranks(docs)
     # posexplode_outer and a filter: with posexplode the optimizer copies the split below it.
-    opened = docs.select("d", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("l", "line")).where("line IS NOT NULL")
-    # The struct goes through a generator, else the filter would evaluate it once more below.
-    words = opened.select("d", "l", F.explode_outer(F.array(_sorted_out(F.col("line")))).alias("s")).where(F.col("s.kind") <= (SHORT if short else EXACT)).select("d", "l", "s.*")
-    ends = F.struct(F.array_min("w").alias("low"), F.array_max("w").alias("high"))
-    lines = words.select("d", "l", "kind", "e1", "e2", _tokens(F.col("w"), ranks).alias("t"), ends.alias("ends"))
-    n = F.size("t")
+    opened = docs.select("d", F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("l", "line"))
+    lines = opened.where("line IS NOT NULL").select("d", "l", "line", line_words(F.col("line")).alias("w"))
+    line, n = F.col("line"), F.size("w")
+    is_set = n >= MIN_WORDS
+    every = all_words(line)
+    exact = (F.size(every) + F.length(F.regexp_replace(line, SPACED, "")) >= EXACT_WORDS) | (F.length(F.regexp_replace(line, SPACES, "")) >= EXACT_CHARS)
+    kind = F.when(is_set, SET).when(n == 0, None).when(exact, EXACT).otherwise(SHORT)
+    h1 = F.when(is_set, F.xxhash64(line)).otherwise(F.xxhash64(F.lit(2), every))
+    h2 = F.when(is_set, F.xxhash64(F.lit(1), line)).otherwise(F.xxhash64(F.lit(3), every))
+    sets = lines.select("d", "l", kind.alias("kind"), h1.alias("h1"), h2.alias("h2"), n.alias("n"), F.when(is_set, _tokens(F.col("w"), ranks)).alias("t"))
     one = F.lit(1).cast("long")
     bits = F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
-    keep = n - F.floor((PERCENT * n + 99) / 100).cast("int") + 1
-    h1, h2 = F.coalesce("e1", F.xxhash64("t")), F.coalesce("e2", F.xxhash64(F.lit(1), "t"))
-    return lines.select("d", "l", "kind", h1.alias("h1"), h2.alias("h2"), n.alias("n"), F.slice("t", F.lit(1), keep).alias("prefix"), bits.alias("bits"), "ends")
+    return sets.select("d", "l", "kind", "h1", "h2", "n", F.slice("t", F.lit(1), _kept(F.col("n"))).alias("prefix"), F.when(F.col("n") <= LONG_WORDS, bits).alias("bits"))
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
     """One row per distinct line: kind, first place (d, l), number of lines, and what belongs to
     the set. Equal lines are merged before the shuffle, so one of a third of all rows is none."""
-    firsts = lines.groupBy("h1", "h2").agg(
-        F.first("kind").alias("kind"), F.min(F.struct("d", "l")).alias("at"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("ends").alias("ends")
-    )
-    return firsts.select("h1", "h2", "kind", "at.d", "at.l", "copies", "n", "prefix", "bits", "ends")
+    same = [F.first(c).alias(c) for c in ("kind", "n", "prefix", "bits")]
+    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("d", "l")).alias("at"), F.count("*").alias("copies"), *same)
+    return firsts.select("h1", "h2", "kind", "at.d", "at.l", "copies", "n", "prefix", "bits")
 
 
 def _bound(n: Column, m: Column, apart: Column) -> Column:
@@ -132,7 +149,7 @@ def _bound(n: Column, m: Column, apart: Column) -> Column:
 
 def _apart(x, y) -> Column:
     """Bits in which two bitmaps differ; ``x`` and ``y`` give the columns of either line."""
-    return F.bit_count(x("bits").bitwiseXOR(y("bits")))
+    return F.coalesce(F.bit_count(x("bits").bitwiseXOR(y("bits"))), F.lit(0))
 
 
 def _small(lists: DataFrame) -> bool:
@@ -157,27 +174,34 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return similar.select(F.col("yd").alias("d"), F.col("yl").alias("l")).distinct()
 
 
+def _first_round(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Places (d, l) of the classes that the earliest class with one of their keys is similar to."""
+    mixed = F.transform(F.slice("prefix", F.lit(1), _prefix(F.col("n"))), lambda x: F.hash(x))
+    ends = F.array(F.struct(F.lit(0).alias("side"), F.array_min(mixed).alias("key")), F.struct(F.lit(1).alias("side"), F.array_max(mixed).alias("key")))
+    keys = classes.select("d", "l", "n", "bits", F.explode_outer(ends).alias("k"))
+    earliest = keys.groupBy("k").agg(F.min(F.struct("d", "l", "n", "bits")).alias("o"), F.count("*").alias("holders")).where("holders > 1")
+    asked = keys.join(earliest, "k").where((F.col("o.d") != F.col("d")) | (F.col("o.l") != F.col("l")))
+    asked = asked.where(_bound(F.col("o.n"), F.col("n"), _apart(lambda c: F.col("o")[c], F.col)))
+    return _verified(asked.select(F.col("o.d").alias("xd"), F.col("o.l").alias("xl"), F.col("d").alias("yd"), F.col("l").alias("yl")), docs)
+
+
 def similar_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Places (d, l) of the classes that have a similar earlier one."""
-    keys = classes.select("d", "l", "n", "bits", F.explode_outer(F.array(F.struct(F.lit(0).alias("side"), F.col("ends.low").alias("key")), F.struct(F.lit(1).alias("side"), F.col("ends.high").alias("key")))).alias("k"))
-    order = Window.partitionBy("k").orderBy("d", "l")
-    holder = F.struct("d", "l", "n", "bits")
-    asked = keys.withColumn("o", F.array(F.first(holder).over(order), F.lag(holder).over(order)))
-    chosen = F.filter("o", lambda o: ((o["d"] != F.col("d")) | (o["l"] != F.col("l"))) & _bound(o["n"], F.col("n"), _apart(lambda c: o[c], F.col)))
-    first = asked.select("d", "l", F.explode_outer(chosen).alias("o")).where("o IS NOT NULL")
-    first = first.select(F.col("o.d").alias("xd"), F.col("o.l").alias("xl"), F.col("d").alias("yd"), F.col("l").alias("yl"))
-    settled = store(_verified(first, docs), "settled-lines")
-
-    flagged = classes.select("d", "l", "n", "bits", "prefix").join(settled.withColumn("settled", F.lit(1)), ["d", "l"], "left")
-    postings = flagged.select("d", "l", "n", "bits", F.when(F.col("settled").isNull(), 1).otherwise(0).alias("open"), F.posexplode("prefix").alias("i", "token"))
-    x, y = (postings.select("token", *[F.col(c).alias(side + c) for c in ("d", "l", "n", "bits", "open", "i")]) for side in "xy")
+    settled = store(_first_round(docs, classes), "settled-lines")
+    few = settled.limit(BROADCAST_DOCS + 1).count() <= BROADCAST_DOCS
+    mark = settled.withColumn("settled", F.lit(1))
+    flagged = classes.select("d", "l", "n", "bits", "prefix").join(F.broadcast(mark) if few else mark, ["d", "l"], "left")
+    postings = flagged.select("d", "l", "n", "bits", F.when(F.col("settled").isNull(), 1).otherwise(0).alias("open"), F.inline_outer(_keys(F.col("n"), F.col("prefix"))))
+    x, y = (postings.select("key", *[F.col(c).alias(side + c) for c in ("d", "l", "n", "bits", "open", "i")]) for side in "xy")
+    xn, yn = F.col("xn"), F.col("yn")
     earlier = (F.col("xd") < F.col("yd")) | ((F.col("xd") == F.col("yd")) & (F.col("xl") < F.col("yl")))
-    rest = F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi"))
     # Only open classes ask. Written with both sides' flags, so that the filter stays in the
     # join and both sides read one and the same shuffle.
     asks = F.col("xopen") + 2 * F.col("yopen") >= 2
-    joined = x.join(y, "token").where(asks & earlier & ((100 + PERCENT) * rest >= PERCENT * (F.col("xn") + F.col("yn"))) & _bound(F.col("xn"), F.col("yn"), _apart(lambda c: F.col("x" + c), lambda c: F.col("y" + c))))
-    return settled.unionByName(_verified(joined.select("xd", "xl", "yd", "yl"), docs))
+    rest = F.least(xn - F.col("xi"), yn - F.col("yi"))
+    near = ((100 + PERCENT) * rest >= PERCENT * (xn + yn)) & _bound(xn, yn, _apart(lambda c: F.col("x" + c), lambda c: F.col("y" + c)))
+    pairs = x.join(y, "key").where(asks & earlier & near)
+    return settled.unionByName(_verified(pairs.select("xd", "xl", "yd", "yl"), docs))
 
 
 def _with_short(lines: DataFrame, classes: DataFrame, gone: DataFrame) -> DataFrame:
@@ -197,7 +221,7 @@ def _with_short(lines: DataFrame, classes: DataFrame, gone: DataFrame) -> DataFr
 
 def repeated_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """Numbers ``ls`` of the lines to remove from each document ``d`` of ``docs`` (d, text)."""
-    lines = store(line_table(docs, short), "lines")
+    lines = store(line_table(docs), "lines").where("kind IS NOT NULL")
     classes = store(line_classes(lines), "line-classes")
     similar = store(similar_classes(docs, classes.where(F.col("kind") == SET)), "similar-lines")
     several = classes.where((F.col("copies") > 1) & (F.col("kind") < SHORT)).select("h1", "h2", F.col("d").alias("fd"), F.col("l").alias("fl"))
@@ -242,8 +266,15 @@ WITH lines AS (
   SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)
 ), sets AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '[ \\t\\x0b\\f\\r]+'), lambda w: w <> ''))) AS words
+  SELECT doc_id, line_no, line, list_filter(regexp_split_to_array(lower(line), '[ \\t\\x0b\\f\\r]+'), lambda w: w <> '') AS every,
+    list_sort(list_distinct(every)) AS words
   FROM lines
+), repeats AS (
+  SELECT doc_id, line_no FROM sets
+  WHERE len(words) BETWEEN 1 AND 4 AND (
+    len(every) + length(regexp_replace(lower(line), '[^\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Thai}\\p{Lao}\\p{Khmer}\\p{Myanmar}]+', '', 'g')) >= 10
+    OR length(regexp_replace(lower(line), '[ \\t\\x0b\\f\\r]+', '', 'g')) >= 60)
+  QUALIFY row_number() OVER (PARTITION BY every ORDER BY doc_id, line_no) > 1
 ), classes AS (
   SELECT words, min((doc_id, line_no)) AS pos, len(words) AS n FROM sets WHERE len(words) >= 5 GROUP BY words
 ), tokens AS (
@@ -263,8 +294,8 @@ WITH lines AS (
 ), kept AS (
   SELECT pos FROM classes ANTI JOIN alike USING (pos)
 ), judged AS (
-  SELECT l.doc_id, l.line_no, l.line, len(s.words) < 5 OR k.pos IS NOT NULL AS stays
-  FROM lines l JOIN sets s USING (doc_id, line_no) LEFT JOIN kept k ON k.pos = (l.doc_id, l.line_no)
+  SELECT s.doc_id, s.line_no, s.line, k.pos IS NOT NULL OR len(s.words) < 5 AND r.doc_id IS NULL AS stays
+  FROM sets s LEFT JOIN kept k ON k.pos = (s.doc_id, s.line_no) LEFT JOIN repeats r ON r.doc_id = s.doc_id AND r.line_no = s.line_no
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
   md5(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (stays), '')) AS text_md5
