@@ -200,7 +200,22 @@ SELECT query_id, rank, id, score FROM r WHERE rank <= 5""",
 near AS (SELECT v.id, c.id AS list_id, row_number() OVER (PARTITION BY v.id
            ORDER BY round(list_cosine_similarity(v.e::DOUBLE[], c.e::DOUBLE[]), 6) DESC, c.id) AS place FROM v, v c WHERE c.id < 16),
 hits AS (SELECT q.id AS query_id, i.id, i.label, round(list_cosine_similarity(q.e::DOUBLE[], i.e::DOUBLE[]), 6) AS score
-         FROM v q JOIN near p ON p.id = q.id AND p.place <= 4 JOIN near a ON a.list_id = p.list_id AND a.place = 1 JOIN v i ON i.id = a.id),
+         FROM v q JOIN near p ON p.id = q.id AND p.place <= 12 JOIN near a ON a.list_id = p.list_id AND a.place = 1 JOIN v i ON i.id = a.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM hits)
+SELECT query_id, rank, id, label, score FROM r WHERE rank <= 5""",
+    "similarity_pq": f"""WITH {VECTORS},
+u AS (SELECT id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS u FROM v),
+near AS (SELECT v.id, c.id AS list_id, row_number() OVER (PARTITION BY v.id
+           ORDER BY round(list_cosine_similarity(v.e::DOUBLE[], c.e::DOUBLE[]), 6) DESC, c.id) AS place FROM v, v c WHERE c.id < 16),
+gaps AS (SELECT n.id, n.list_id, n.place, s.s, list_transform(range(4 * s.s + 1, 4 * s.s + 5), lambda j: a.u[j] - c.u[j]) AS g
+         FROM near n JOIN u a ON a.id = n.id JOIN u c ON c.id = n.list_id, range(16) s(s)),
+words AS (SELECT s.s, id - 16 AS code, u[4 * s.s + 1 : 4 * s.s + 4] AS w FROM u, range(16) s(s) WHERE id BETWEEN 16 AND 79),
+far AS (SELECT g.id, g.list_id, g.place, g.s, w.code, list_distance(g.g, w.w) ** 2 AS d FROM gaps g JOIN words w USING (s) WHERE g.place <= 14),
+codes AS (SELECT id, list_id, s, arg_min(code, (d, code)) AS code FROM far WHERE place = 1 GROUP BY ALL),
+summed AS (SELECT f.id AS query_id, c.id, round(sum(f.d), 6) AS d FROM far f JOIN codes c USING (list_id, s, code) GROUP BY ALL),
+short AS (SELECT query_id, id FROM summed QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, id) <= 100),
+hits AS (SELECT query_id, s.id, i.label, round(list_cosine_similarity(q.e::DOUBLE[], i.e::DOUBLE[]), 6) AS score
+         FROM short s JOIN v q ON q.id = s.query_id JOIN v i ON i.id = s.id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM hits)
 SELECT query_id, rank, id, label, score FROM r WHERE rank <= 5""",
     "similarity_ann_all_lists": topk("list_cosine_similarity", "DESC", extra=", label"),

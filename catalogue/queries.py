@@ -9,6 +9,7 @@ from shelfmark.functions.common import unnest
 from shelfmark.functions.text import clean_lines
 from shelfmark.functions.vectors import to_cells
 from shelfmark.operators.ann import build_ann, search_ann
+from shelfmark.operators.pq import build_pq, search_pq
 from shelfmark.operators.changes import apply_changes, diff_snapshots
 from shelfmark.operators.chunk import chunk_text
 from shelfmark.operators.corpus import CorpusStats, fit_corpus
@@ -268,11 +269,31 @@ def similarity_extremes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def similarity_ann(spark: SparkSession, sf: str) -> DataFrame:
-    """The first 16 vectors are the centroids; four of their lists are looked through."""
+    """The first 16 vectors are the centroids; twelve of their lists are looked through, which
+    finds over 0.9 of the exact answer: the given vectors are hardly clustered."""
     rows = _vectors(spark, sf)
     centroids = rows.where("id < 16").select(F.col("id").alias("list_id"), F.col("embedding").alias("centroid"))
     ann = build_ann(rows, 64, metric="cosine", centroids=centroids)
-    return _ranked(search_ann(ann, _vector_queries(spark, sf), 5, 4, columns=["label"]), "label")
+    return _ranked(search_ann(ann, _vector_queries(spark, sf), 5, 12, columns=["label"]), "label")
+
+
+def similarity_pq(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 16 vectors are the centroids, and parts of the next 64 the words of the codes:
+    16 bytes a row for vectors of 256."""
+    rows = _vectors(spark, sf)
+    centroids = rows.where("id < 16").select(F.col("id").alias("list_id"), F.col("embedding").alias("centroid"))
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    unit = rows.where("id BETWEEN 16 AND 79").select("id", F.transform("embedding", lambda x: x.cast("double") / norm).alias("u"))
+    words = unit.select(F.explode(F.sequence(F.lit(0), F.lit(15))).alias("sub"), (F.col("id") - 16).alias("code"), "u")
+    words = words.select("sub", "code", F.slice("u", F.col("sub") * 4 + 1, F.lit(4)).alias("word"))
+    pq = build_pq(rows, 64, 16, codebooks=words, centroids=centroids)
+    return _ranked(search_pq(pq, _vector_queries(spark, sf), 5, 14, 100, ["label"]), "label")
+
+
+def similarity_pq_trained(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists and codes trained on all rows; recall is held against the exact answer in the tests."""
+    pq = build_pq(_vectors(spark, sf), 64, 16, n_lists=16)
+    return _ranked(search_pq(pq, _vector_queries(spark, sf), 5, 14, 200, ["label"]), "label")
 
 
 def _ann(nprobe: int, n_lists: int):
@@ -615,6 +636,8 @@ QUERIES = {
     "similarity_cells": similarity_cells,
     "similarity_extremes": similarity_extremes,
     "similarity_ann": similarity_ann,
+    "similarity_pq": similarity_pq,
+    "similarity_pq_trained": similarity_pq_trained,
     "similarity_ann_all_lists": _ann(8, 8),
     "rerank_bm25": rerank_bm25,
     "rerank_model": rerank_model,

@@ -2,6 +2,7 @@
 
 from shelfmark.functions.text import clean_lines, html_to_text
 from shelfmark.operators.ann import build_ann, search_ann
+from shelfmark.operators.pq import build_pq, search_pq
 from shelfmark.operators.changes import apply_changes, diff_snapshots
 from shelfmark.operators.chunk import chunk_text
 from shelfmark.operators.corpus import fit_corpus
