@@ -107,6 +107,10 @@ def canonical(kind: str, value: str) -> str:
     return value if kind == "secret" else re.sub(r"\s", "", value).casefold()
 
 
+#: Attempts that keep the size of an entity.
+SAME_SIZE = 4
+
+
 class _Stream:
     """Pseudo-random numbers of one entity, from the key."""
 
@@ -145,8 +149,16 @@ def _luhn(digits: str) -> int:
 
 
 def _refill(value: str, digits: str) -> str:
+    """``value`` with these digits in place of its own; what is left over follows."""
     fresh = iter(digits)
-    return "".join(next(fresh) if c.isdigit() else c for c in value)
+    return "".join(next(fresh) if c.isdigit() else c for c in value) + "".join(fresh)
+
+
+def _octet(part: str, more: int, stream: _Stream) -> str:
+    """A number of as many digits as ``part`` and ``more``; up to 254 while there are three."""
+    size = len(part) + more
+    least, most = (1, 9) if size == 1 else (10 ** (size - 1), 254 if size == 3 else 10**size - 1)
+    return str(least + stream.below(most - least + 1)) if size < 9 else str(stream.below(9) + 1) + "".join(stream.of("0123456789") for _ in range(size - 1))
 
 
 def _country(digits: str) -> int:
@@ -161,22 +173,25 @@ def _cased(made: str, value: str) -> str:
 
 def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     """The replacement of an occurrence. Made from the canonical value, the attempt and the
-    key alone, then laid out (spaces, case of a name or an address) as the occurrence is."""
+    key alone, then laid out (spaces, case of a name or an address) as the occurrence is. From
+    attempt SAME_SIZE on it is longer by one character more each time, so that there is always
+    a free one, even where the corpus holds every value of a format."""
     whole = canonical(kind, value)
     stream = _Stream(key, kind, whole, attempt)
+    more = max(0, attempt - SAME_SIZE + 1)
     if kind == "email":
         local, _, domain = whole.partition("@")
-        shared = _Stream(key, "domain", domain, attempt)
+        shared = _Stream(key, "domain", domain, 0)  # one domain, one surrogate
         host = _same_format(domain.split(".")[0], shared)
         written, _, at = value.partition("@")
-        return f"{_cased(_same_format(local, stream), written)}@{_cased(host, at.split('.')[0])}.example.{'org' if domain.endswith('org') else 'com'}"
+        own = _cased(_same_format(local, stream), written) + "".join(stream.of("abcdefghij") for _ in range(more))
+        return f"{own}@{_cased(host, at.split('.')[0])}.example.{'org' if domain.endswith('org') else 'com'}"
     if kind == "ip":
-        low = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
-        return ".".join(str(a + stream.below(b - a + 1)) for a, b in (low[len(part)] for part in value.split(".")))
+        return ".".join(_octet(part, (more + 3 - i) // 4, stream) for i, part in enumerate(value.split(".")))
     if kind in ("phone", "card", "ssn"):
         old = whole.lstrip("+")
         kept = _country(old) if whole != old else 1 if kind == "card" else 0
-        digits = old[:kept] + "".join(stream.of("0123456789") for _ in old[kept:])
+        digits = old[:kept] + "".join(stream.of("0123456789") for _ in range(len(old) - kept + more))
         if kind == "card" and (_luhn(whole) == 0) != (_luhn(digits) == 0):
             # The last digit makes the check right; one more makes it wrong.
             last = (int(digits[-1]) - _luhn(digits)) % 10
@@ -188,11 +203,11 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
         rest = value[len(head) :]
         if re.fullmatch("[0-9a-f]+", rest) or re.fullmatch("[0-9A-F]+", rest):
             hexes = "0123456789abcdef" if rest.islower() or rest.isdigit() else "0123456789ABCDEF"
-            return head + "".join(stream.of(hexes) for _ in rest)
-        return head + _same_format(rest, stream)
+            return head + "".join(stream.of(hexes) for _ in range(len(rest) + more))
+        return head + _same_format(rest, stream) + "".join(stream.of("0123456789") for _ in range(more))
     if kind == "iban":
-        fresh = iter(whole[:2].upper() + _same_format(whole[2:].upper(), stream))
-        return "".join(c if c.isspace() else next(fresh) for c in value)
+        fresh = iter(whole[:2].upper() + _same_format(whole[2:].upper(), stream) + "".join(stream.of("0123456789") for _ in range(more)))
+        return "".join(c if c.isspace() else next(fresh) for c in value) + "".join(fresh)
     # Names: syllables of the same script, about as long, ending by gender.
     script = _script(whole[0])
     gender = kind[-1] if kind != "surname" else "f" if script == "CYRILLIC" and whole[-1] == "а" else "n"
@@ -234,7 +249,9 @@ def later_attempts(docs: DataFrame, key: bytes) -> DataFrame:
     meant = store(_meant(seen), "meant")
     rows = meant.select(F.col("meant").alias("kind"), "value").distinct()
     table = store(rows.withColumn("attempt", F.lit(0)), "entities")
-    values = table.select("kind", F.col("value").alias("fake"))
+    # Given names and surnames share one space: none stands for an occurring one of any kind.
+    space = F.when(F.col("kind") == "surname", "name").when(F.col("kind").startswith("given_"), "name").otherwise(F.col("kind")).alias("space")
+    values = table.select(space, F.col("value").alias("fake")).distinct()
 
     def make(batch):
         cells = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
@@ -244,9 +261,10 @@ def later_attempts(docs: DataFrame, key: bytes) -> DataFrame:
     while True:
         made = store(per_batch(table, make, "kind string, value string, attempt int, fake string"), "surrogates")
         # Of those that share one, the smallest keeps it.
-        owners = made.groupBy("kind", "fake").agg(F.min("value").alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n")
-        taken = made.join(values, ["kind", "fake"], "left_semi").select("kind", "value")
-        shared = made.join(owners, ["kind", "fake"]).where("value <> owner").select("kind", "value")
+        spaced, who = made.select("*", space), F.struct("value", "kind")
+        owners = spaced.groupBy("space", "fake").agg(F.min(who).alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n")
+        taken = spaced.join(values, ["space", "fake"], "left_semi").select("kind", "value")
+        shared = spaced.join(owners, ["space", "fake"]).where(who != F.col("owner")).select("kind", "value")
         clashes = store(taken.unionByName(shared).distinct().withColumn("again", F.lit(1)), "clashes")
         if not clashes.limit(1).count():
             tried = made.select(F.col("kind").alias("meant"), "value", "attempt")

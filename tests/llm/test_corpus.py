@@ -446,6 +446,30 @@ def test_collisions_are_resolved(spark, odd, none):
     assert replace_entities(none, KEY).count() == 0
 
 
+def test_a_format_without_a_free_value(spark):
+    # The corpus holds every surrogate that one-digit addresses can have.
+    addresses = [f"{i // 729 + 1}.{i // 81 % 9 + 1}.{i // 9 % 9 + 1}.{i % 9 + 1}" for i in range(9**4)]
+    docs = spark.createDataFrame([(i, f"at {x} or {x}") for i, x in enumerate(addresses)], "doc_id long, text string")
+    fakes = [re.findall(r"[\d.]+", r.text) for r in replace_entities(docs, KEY).collect()]
+    assert all(a == b for a, b in fakes) and len({a for a, _ in fakes}) == 9**4
+    assert not {a for a, _ in fakes} & set(addresses)
+
+
+def test_later_attempts_keep_the_domain_and_grow():
+    one, two = (surrogate("email", "jo.x@mail.net", n, KEY) for n in (0, 9))
+    assert one.split("@")[1] == two.split("@")[1] and one.split("@")[0] != two.split("@")[0]
+    for kind, value in (("ip", "1.2.3.4"), ("phone", "+1 201 555 0101"), ("card", "4111 1111 1111 1111"), ("ssn", "123-45-6789"), ("iban", "DE89 3704 0044 0532 0130 00"), ("secret", "sk-abcdef0123456789")):
+        sizes = [len(surrogate(kind, value, n, KEY)) for n in range(12)]
+        assert sizes[:4] == [len(value)] * 4 and sizes[4:] == [len(value) + k for k in range(1, 9)], kind
+
+
+def test_names_are_distinct_across_kinds(spark):
+    fake = surrogate("surname", "smith", 0, KEY)
+    docs = spark.createDataFrame([(1, "Mr Smith called."), (2, f"Mrs {fake} Jones called.")], "doc_id long, text string")
+    rows = {r.doc_id: r.text for r in replace_entities(docs, KEY).collect()}
+    assert fake not in rows[1] and fake not in rows[2]
+
+
 def test_collisions_by_join(spark, monkeypatch):
     from shelfmark.llm import op2_surrogates as module
 
