@@ -6,8 +6,9 @@ Length, the position of the shared token and a bitmap of each line bound the ove
 before anything is verified. A long line shares some rare token with very many others, and its
 bitmap says little. There two tokens that follow each other in the order of rarity make a key: of
 n tokens at most 2(n-o) + (m-o) such pairs are lost to a line of m tokens that has o of them, which
-is at most 0.4n, so two similar long lines share a pair in a prefix of 0.4n + 2. The Jaccard
-similarity is then taken over all words of both lines.
+is at most 0.4n, so two similar long lines share a pair in a prefix of 0.4n + 2. A pair of lines so
+found is compared by the prefixes that both have, and only what may still be similar by its words:
+the Jaccard similarity is then taken over all words of both lines.
 
 Lines with equal words in equal order are one class, known by its first place in the corpus. A
 class falls to any earlier class that is similar to it, so one similar earlier class is enough. A
@@ -107,9 +108,10 @@ def _kept(n: Column) -> Column:
 
 
 def _keys(n: Column, prefix: Column) -> Column:
-    """(i, key): place of each token of the prefix, and -1 for pairs of tokens."""
-    single = F.transform(F.slice(prefix, F.lit(1), _prefix(n)), lambda x, i: F.struct(i.alias("i"), x.alias("key")))
-    pairs = F.transform(F.slice(prefix, F.lit(1), F.size(prefix) - 1), lambda x, i: F.struct(F.lit(-1).alias("i"), F.xxhash64(x, F.get(prefix, i + 1)).alias("key")))
+    """(i, key): place of each token of the prefix; for pairs of tokens -1 - the number of tokens
+    before the second one (-1 where both are equal, so that the place says nothing)."""
+    single = F.transform(F.slice(prefix, F.lit(1), _prefix(n)), lambda x, i: F.struct(i.alias("i"), x.cast("long").alias("key")))
+    pairs = F.transform(F.slice(prefix, F.lit(1), F.size(prefix) - 1), lambda x, i: F.struct(F.when(x == F.get(prefix, i + 1), -1).otherwise(-2 - i).alias("i"), F.xxhash64(x, F.get(prefix, i + 1)).alias("key")))
     return F.when(~_is_paired(n), single).when(n > LONG_WORDS, pairs).otherwise(F.concat(single, pairs))
 
 
@@ -130,7 +132,7 @@ def line_table(docs: DataFrame) -> DataFrame:
     sets = lines.select("d", "l", kind.alias("kind"), h1.alias("h1"), h2.alias("h2"), n.alias("n"), F.when(is_set, _tokens(F.col("w"), ranks)).alias("t"))
     one = F.lit(1).cast("long")
     bits = F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
-    return sets.select("d", "l", "kind", "h1", "h2", "n", F.slice("t", F.lit(1), _kept(F.col("n"))).alias("prefix"), F.when(F.col("n") <= LONG_WORDS, bits).alias("bits"))
+    return sets.select("d", "l", "kind", "h1", "h2", "n", F.slice("t", F.lit(1), _kept(F.col("n"))).cast("array<int>").alias("prefix"), F.when(F.col("n") <= LONG_WORDS, bits).alias("bits"))
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
@@ -147,6 +149,26 @@ def _bound(n: Column, m: Column, apart: Column) -> Column:
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * (n + m - apart) >= 2 * PERCENT * (n + m))
 
 
+def _by_place(n: Column, m: Column, i: Column, j: Column) -> Column:
+    """The most words that sets of n and m tokens may share, given the places of a key (see
+    ``_keys``) that both have: if it is a token, the first they share."""
+    before, also = -1 - i, -1 - j
+    return F.when(i >= 0, F.least(n - i, m - j)).otherwise(F.least(before, also) + F.least(n - before, m - also))
+
+
+def _missing(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (xn, xp, yn, yp) whose prefixes leave room for the overlap needed.
+
+    A word of the prefix that ends at the rarer token is in the other line's prefix or not in
+    that line at all, so each one missing there is lost to the overlap. Tokens that two words
+    of a line share are counted once, which only makes the loss smaller.
+    """
+    lost = F.when(
+        F.element_at("xp", -1) <= F.element_at("yp", -1), F.col("xn") - F.size(F.array_except("xp", "yp"))
+    ).otherwise(F.col("yn") - F.size(F.array_except("yp", "xp")))
+    return pairs.where((100 + PERCENT) * lost >= PERCENT * (F.col("xn") + F.col("yn")))
+
+
 def _apart(x, y) -> Column:
     """Bits in which two bitmaps differ; ``x`` and ``y`` give the columns of either line."""
     return F.coalesce(F.bit_count(x("bits").bitwiseXOR(y("bits"))), F.lit(0))
@@ -158,10 +180,14 @@ def _small(lists: DataFrame) -> bool:
     return size.docs <= BROADCAST_DOCS and (size.lines or 0) <= BROADCAST_LINES
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Later places (d, l) of the pairs (xd, xl, yd, yl) whose lines are similar. Only the
-    lines asked for leave their documents."""
-    pairs = store(pairs.distinct(), "line-pairs")
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Later places (d, l) of the pairs (xd, xl, yd, yl) of ``classes`` whose lines are similar.
+    Prefixes come first; only the lines that are still asked for leave their documents."""
+    pairs = pairs.distinct()
+    for side in "xy":
+        heads = classes.select(*[F.col(c).alias(side + c) for c in ("d", "l", "n")], F.col("prefix").alias(f"{side}p"))
+        pairs = pairs.join(heads, [f"{side}d", f"{side}l"])
+    pairs = store(_missing(pairs).select("xd", "xl", "yd", "yl"), "line-pairs")
     places = pairs.select(F.explode(F.array(F.struct(F.col("xd").alias("d"), F.col("xl").alias("l")), F.struct(F.col("yd").alias("d"), F.col("yl").alias("l")))).alias("p"))
     wanted = store(places.groupBy(F.col("p.d").alias("d")).agg(F.collect_set("p.l").alias("ls")), "line-places")
     texts = docs.join(F.broadcast(wanted) if _small(wanted) else wanted, "d")
@@ -182,7 +208,7 @@ def _first_round(docs: DataFrame, classes: DataFrame) -> DataFrame:
     earliest = keys.groupBy("k").agg(F.min(F.struct("d", "l", "n", "bits")).alias("o"), F.count("*").alias("holders")).where("holders > 1")
     asked = keys.join(earliest, "k").where((F.col("o.d") != F.col("d")) | (F.col("o.l") != F.col("l")))
     asked = asked.where(_bound(F.col("o.n"), F.col("n"), _apart(lambda c: F.col("o")[c], F.col)))
-    return _verified(asked.select(F.col("o.d").alias("xd"), F.col("o.l").alias("xl"), F.col("d").alias("yd"), F.col("l").alias("yl")), docs)
+    return _verified(asked.select(F.col("o.d").alias("xd"), F.col("o.l").alias("xl"), F.col("d").alias("yd"), F.col("l").alias("yl")), classes, docs)
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -198,10 +224,9 @@ def similar_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     # Only open classes ask. Written with both sides' flags, so that the filter stays in the
     # join and both sides read one and the same shuffle.
     asks = F.col("xopen") + 2 * F.col("yopen") >= 2
-    rest = F.least(xn - F.col("xi"), yn - F.col("yi"))
-    near = ((100 + PERCENT) * rest >= PERCENT * (xn + yn)) & _bound(xn, yn, _apart(lambda c: F.col("x" + c), lambda c: F.col("y" + c)))
+    near = ((100 + PERCENT) * _by_place(xn, yn, F.col("xi"), F.col("yi")) >= PERCENT * (xn + yn)) & _bound(xn, yn, _apart(lambda c: F.col("x" + c), lambda c: F.col("y" + c)))
     pairs = x.join(y, "key").where(asks & earlier & near)
-    return settled.unionByName(_verified(pairs.select("xd", "xl", "yd", "yl"), docs))
+    return settled.unionByName(_verified(pairs.select("xd", "xl", "yd", "yl"), classes, docs))
 
 
 def _with_short(lines: DataFrame, classes: DataFrame, gone: DataFrame) -> DataFrame:
