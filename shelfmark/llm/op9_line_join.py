@@ -55,12 +55,16 @@ SET, EXACT, SHORT = 0, 1, 2
 NULL_ID = -(1 << 63)
 
 
-def all_words(line: Column) -> Column:
-    """Lower-cased words, as 64-bit hashes."""
+def _split(line: Column) -> Column:
+    """Words of a line, with empty ones where blanks meet."""
     odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\r"))
     # Most lines have blanks alone, by which they are split without a regular expression.
-    words = F.when(odd, F.split(line, SPACES)).otherwise(F.split(line, " "))
-    return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
+    return F.when(odd, F.split(line, SPACES)).otherwise(F.split(line, " "))
+
+
+def all_words(line: Column) -> Column:
+    """Lower-cased words, as 64-bit hashes."""
+    return F.transform(F.array_remove(_split(line), ""), lambda w: F.xxhash64(w))
 
 
 def line_words(line: Column) -> Column:
@@ -79,7 +83,7 @@ def rarity_ranks(docs: DataFrame) -> Column:
     Buckets are counted, not words, so the array has a fixed size; the rarest words are told
     apart by their hash. Any common order of tokens gives the same result.
     """
-    word = F.explode(F.split(F.lower("text"), "[ \t\n\x0b\f\r]+"))
+    word = F.explode(_split(F.replace(F.lower("text"), F.lit("\n"), F.lit(" "))))
     counts = docs.select(word.alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("b")).count().collect()
     known = {r.b: r["count"] for r in counts}
     ranks = [0] * (1 << RARITY_BITS)
@@ -90,7 +94,9 @@ def rarity_ranks(docs: DataFrame) -> Column:
 
 def _tokens(words: Column, ranks: Column) -> Column:
     """Hashes as sorted tokens: rank of the bucket above, some other bits of the hash below."""
-    return F.sort_array(F.transform(words, lambda h: ranks[_bucket(h)].bitwiseOR(h.bitwiseAND(F.lit((1 << WORD_BITS) - 1)))))
+    # An array that is known to hold no null is sorted as plain numbers.
+    rank = lambda h: F.coalesce(F.get(ranks, _bucket(h).cast("int")), F.lit(0).cast("long"))
+    return F.sort_array(F.transform(words, lambda h: rank(h).bitwiseOR(h.bitwiseAND(F.lit((1 << WORD_BITS) - 1)))))
 
 
 def _prefix(n: Column) -> Column:
