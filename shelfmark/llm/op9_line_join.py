@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.common import let
-from shelfmark.llm.words import documents, store
+from shelfmark.llm.words import documents, free_shuffles, store
 
 PERCENT = 80
 #: Lines of fewer distinct words are not compared as sets.
@@ -220,6 +220,7 @@ def _first_round(docs: DataFrame, classes: DataFrame) -> DataFrame:
 def similar_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Places (d, l) of the classes that have a similar earlier one."""
     settled = store(_first_round(docs, classes), "settled-lines")
+    free_shuffles(docs.sparkSession)
     few = settled.limit(BROADCAST_DOCS + 1).count() <= BROADCAST_DOCS
     mark = settled.withColumn("settled", F.lit(1))
     flagged = classes.select("d", "l", "n", "bits", "prefix").join(F.broadcast(mark) if few else mark, ["d", "l"], "left")
@@ -254,7 +255,9 @@ def repeated_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """Numbers ``ls`` of the lines to remove from each document ``d`` of ``docs`` (d, text)."""
     lines = store(line_table(docs), "lines").where("kind IS NOT NULL")
     classes = store(line_classes(lines), "line-classes")
+    free_shuffles(docs.sparkSession)
     similar = store(similar_classes(docs, classes.where(F.col("kind") == SET)), "similar-lines")
+    free_shuffles(docs.sparkSession)
     several = classes.where((F.col("copies") > 1) & (F.col("kind") < SHORT)).select("h1", "h2", F.col("d").alias("fd"), F.col("l").alias("fl"))
     later = lines.where(F.col("kind") < SHORT).select("h1", "h2", "d", "l").join(several, ["h1", "h2"]).where("d <> fd OR l <> fl").select("d", "l")
     gone = store(later.unionByName(similar).groupBy("d").agg(F.collect_set("l").alias("ls")), "repeated-lines")
