@@ -18,6 +18,7 @@ from shelfmark.plans.index import (
     create_or_sync_index,
     create_or_sync_text_index,
     delete_from_index,
+    drop_index,
     index_exists,
     index_rows,
     upsert_index,

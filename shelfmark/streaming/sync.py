@@ -8,10 +8,11 @@ from pyspark.sql.types import StructType
 
 from shelfmark.functions.common import as_list
 from shelfmark.operators.changes import fingerprint
-from shelfmark.plans.index import create_index, delete_from_index, upsert_index
+from shelfmark.plans.index import create_index, index_rows, upsert_index
 from shelfmark.plans.ingest import ingest_files
 from shelfmark.session import materialize
 from shelfmark.sources.files import stream_files
+from shelfmark.sources.keyed import create_companion, stored_with_keys, upsert_only
 
 
 def latest_per_key(rows: DataFrame, key: list[str], version_col: str | None) -> DataFrame:
@@ -26,6 +27,28 @@ def latest_per_key(rows: DataFrame, key: list[str], version_col: str | None) ->
     return newest.select(*key, "_row.*").select(*rows.columns)
 
 
+def version_table(spark: SparkSession, index: str, version_col: str) -> str:
+    """Key, version and content hash of the last change taken in for each key, deletes included.
+
+    Where an index has been filled without it, it begins with the versions that the index holds.
+    """
+    rows = index_rows(spark, index)
+    shape = f"`{version_col}` {rows.schema[version_col].dataType.simpleString()}, change_hash string"
+    return create_companion(spark, index, "versions", shape, rows.withColumn("change_hash", F.lit("")))
+
+
+def not_outdated(rows: DataFrame, versions: str, key: list[str], version_col: str) -> DataFrame:
+    """Those of ``rows``, one per key, that are not older than the version taken in before.
+
+    The order is that of ``latest_per_key``, so that the outcome does not depend on how the
+    changes were cut into batches, nor on the order of these.
+    """
+    order = F.struct(version_col, "change_hash")
+    seen = stored_with_keys(rows, versions).select(*key, order.alias("_seen"))
+    both = rows.join(seen, key, "left")
+    return both.where(F.col("_seen").isNull() | (order >= F.col("_seen"))).drop("_seen")
+
+
 def _run(stream: DataFrame, checkpoint: str, table: str, batch) -> int:
     """Run one triggered sync to its end; the number of batches that held data."""
     taken = []
@@ -71,7 +94,10 @@ def sync_stream(
     take their key out of the index. ``files_per_batch`` cuts a backlog into batches.
 
     A batch that is repeated after a failure writes the same rows by key again, so the
-    result is as if it had run once. Within one batch the highest version of a key wins.
+    result is as if it had run once. With ``version_col`` the highest version of a key wins,
+    in whatever order and batches the changes come: a late older row changes nothing, and
+    does not bring back a key deleted since. Versions are kept in a narrow table beside the
+    index (``drop_index`` drops both). Without it the last batch wins.
     The first batch creates the index: give ``n_buckets`` for the size it will grow to.
     """
     reader = spark.readStream.schema(schema)
@@ -79,13 +105,23 @@ def sync_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.parquet(source_dir)
 
+    keys = as_list(key)
+
     def batch(rows: DataFrame) -> None:
-        rows = materialize(latest_per_key(rows, as_list(key), version_col), "change-rows")
-        marked = F.lit(None).cast("string") if "_change" not in rows.columns else F.col("_change")
-        put, gone = rows.where(~F.coalesce(marked == "delete", F.lit(False))).drop("_change"), rows.where(marked == "delete")
-        create_index(put, index, key, vector_col, dim, embedder_id, n_buckets, path)
-        upsert_index(put, index, embedder_id)
-        delete_from_index(gone, index)
+        session = rows.sparkSession
+        rows = materialize(latest_per_key(rows, keys, version_col), "change-rows")
+        content = rows.drop("_change")
+        create_index(content, index, keys, vector_col, dim, embedder_id, n_buckets, path)
+        if version_col is not None:
+            hashed = rows.withColumn("change_hash", fingerprint([c for c in rows.columns if c not in keys]))
+            versions = version_table(session, index, version_col)
+            rows = materialize(not_outdated(hashed, versions, keys, version_col), "newer-rows")
+        marked = F.lit(False) if "_change" not in rows.columns else F.coalesce(F.col("_change") == "delete", F.lit(False))
+        put = rows.where(~marked).select(*content.columns)
+        upsert_index(put, index, embedder_id, gone=rows.where(marked))
+        if version_col is not None:
+            # Last: a batch interrupted before this is taken in again as a whole.
+            upsert_only(rows.select(*keys, version_col, "change_hash"), versions)
 
     return _run(stream, checkpoint, index, batch)
 

@@ -9,6 +9,7 @@ from shelfmark.plans.index import (
     create_or_sync_index,
     create_or_sync_text_index,
     delete_from_index,
+    drop_index,
     index_exists,
     index_rows,
     upsert_index,
@@ -269,3 +270,86 @@ def test_stream_with_deletes(spark, table, folder):
     drop([(1, 2, None, "delete"), (9, 1, None, "delete"), (2, 2, [5.0, 5.0], "update"), (4, 1, [1.0, 1.0], "insert")])
     assert run() == 2
     assert rows(index_rows(spark, name).select("id", "v")) == [(2, 2), (4, 1)]
+
+
+def test_late_older_versions_change_nothing(spark, table, folder):
+    """Every order of the same changes, one a batch, ends in the same index."""
+    import itertools
+
+    shape = "id long, v int, embedding array<float>, _change string"
+    changes = [
+        [(1, 5, [1.0, 5.0], "insert"), (2, 9, None, "delete"), (3, 1, [3.0, 1.0], None)],
+        [(1, 3, [1.0, 3.0], "update"), (2, 4, [2.0, 4.0], "insert"), (3, 1, [3.0, 2.0], None), (4, 2, None, "delete")],
+        [(2, 1, [2.0, 1.0], "insert"), (3, 0, None, "delete"), (4, 3, [4.0, 3.0], "insert"), (5, None, [5.0, 0.0], None)],
+    ]
+    results = []
+    for n, order in enumerate(itertools.permutations(range(3))):
+        if n not in (0, 3, 5):
+            continue
+        source, checkpoint = folder("source"), folder("checkpoint")
+        name, path = table(f"versions_{n}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}_versions")
+        for i in order:
+            spark.createDataFrame(changes[i], shape).coalesce(1).write.mode("append").parquet(source)
+            assert sync_stream(spark, source, shape, name, checkpoint, dim=2, version_col="v", n_buckets=2, path=path) == 1
+        results.append(rows(index_rows(spark, name)))
+        drop_index(spark, name)
+        assert not spark.catalog.tableExists(f"{name}_versions")
+    assert results[0] == results[1] == results[2]
+    assert [(r[0], r[1]) for r in results[0]] == [(1, 5), (3, 1), (4, 3), (5, None)]
+
+
+def test_versions_begin_with_those_of_the_index(spark, table, folder):
+    source, checkpoint = folder("source"), folder("checkpoint")
+    name, path = table("seeded")
+    shape = "id long, v int, embedding array<float>"
+    create_or_sync_index(spark.createDataFrame([(1, 7, [1.0, 7.0])], shape), name, dim=2, n_buckets=2, path=path)
+    late = [(1, 6, [1.0, 6.0]), (2, 1, [2.0, 1.0])]
+    spark.createDataFrame(late, shape).write.parquet(source)
+    sync_stream(spark, source, shape, name, checkpoint, dim=2, version_col="v")
+    assert rows(index_rows(spark, name).select("id", "v")) == [(1, 7), (2, 1)]
+    drop_index(spark, name)
+
+
+def test_invalid_vector_takes_its_key_out(spark, table):
+    name, path = table("invalidated")
+    create_or_sync_index(vectors(spark, [(i, [1.0, float(i)]) for i in range(4)]), name, dim=2, n_buckets=2, path=path)
+    done = upsert_index(vectors(spark, [(1, [0.0, 0.0]), (2, [5.0, 5.0]), (9, None)]), name)
+    assert done == {"insert": 0, "update": 1, "delete": 1}
+    assert [r[0] for r in rows(index_rows(spark, name).select("id"))] == [0, 2, 3]
+    # Keys of another integer type find their buckets, and no keys change nothing.
+    assert delete_from_index(spark.createDataFrame([(3,), (77,)], "id int"), name)["delete"] == 1
+    assert delete_from_index(spark.createDataFrame([], "id int"), name)["delete"] == 0
+
+
+def test_refused_duplicates_leave_no_index(spark, table):
+    name, path = table("refused")
+    with pytest.raises(ValueError):
+        create_or_sync_index(vectors(spark, [(1, [1.0, 1.0]), (1, [2.0, 1.0])]), name, dim=2, n_buckets=2, path=path)
+    assert not index_exists(spark, name)
+
+
+def test_texts_without_a_vector_are_embedded_once(spark, table, folder):
+    log = folder("asked")
+
+    class Counting(HashEmbedder):
+        def transform(self, df, *args, **kwargs):
+            df.select("id").write.mode("append").parquet(log)
+            return super().transform(df, *args, **kwargs)
+
+    name, path = table("once")
+    sync = lambda items: create_or_sync_text_index(
+        spark.createDataFrame(items, "id long, content string"), name, Counting(8), n_buckets=2, path=path
+    )
+    asked = lambda: sorted(r.id for r in spark.read.schema("id long").parquet(log).collect())
+    texts = [(1, "one two"), (2, ""), (3, None), (4, "four")]
+    assert sync(texts) == {"insert": 2, "update": 0, "delete": 0}
+    assert sync(texts) == {"insert": 0, "update": 0, "delete": 0}
+    assert asked() == [1, 2, 3, 4]
+    # One gets a text, one loses it, one that had none goes.
+    assert sync([(1, ""), (2, "two now"), (4, "four")]) == {"insert": 1, "update": 0, "delete": 1}
+    assert sync([(1, ""), (2, "two now"), (4, "four")]) == {"insert": 0, "update": 0, "delete": 0}
+    assert asked() == [1, 1, 2, 2, 3, 4]
+    assert [r[0] for r in rows(index_rows(spark, name).select("id"))] == [2, 4]
+    assert sync([(1, "back"), (2, "two now"), (4, "four")])["insert"] == 1
+    drop_index(spark, name)
