@@ -72,6 +72,14 @@ def cells_ctes(name: str, source: str, key: str, text: str, dim: int, fitted: bo
 {name} AS (SELECT {key}, slot, (w / norm)::FLOAT::DOUBLE AS v FROM {name}_raw JOIN {name}_norm USING ({key}) WHERE norm > 0)"""
 
 
+def chunk_cells(key: str) -> str:
+    """Key, number, content and non-zero cells of the plain vectors of ``chunks``."""
+    return f"""items AS (SELECT {key} * 100000 + chunk_no AS id, {key}, chunk_no, content FROM chunks),
+{cells_ctes('cells', 'items', 'id', 'content', 256, fitted=False)},
+chunk_cells AS (SELECT {key}, chunk_no, md5(content) AS content_md5, slot, round(v, 5) AS value
+FROM cells JOIN items USING (id) WHERE abs(round(v, 5)) > 0.000005)"""
+
+
 def hits_ctes(k: int) -> str:
     """CTE ``hits(query_id, rank, id, score)`` from ``qcells(query_id, …)`` and ``cells(id, …)``."""
     return f"""
@@ -239,7 +247,7 @@ SELECT query_id, rank, id, pdf_name, score FROM reranked JOIN items USING (id) W
 SELECT query_id, rank - 1 AS pos, 'file-' || id AS file, 'label ' || label AS text FROM h""",
     "build_prompts": f"""WITH {retrieval(CHUNKED, CHAT_QUESTIONS, 1024, 3)},
 ctx AS (SELECT query_id, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context FROM hits JOIN items USING (id) GROUP BY query_id)
-SELECT query_id, md5(question || coalesce(chr(10) || chr(10) || '**Context:** "' || context || '"', '')) AS prompt_md5,
+SELECT query_id, 'Answer in one sentence, from the context alone.' AS system, md5(question || coalesce(chr(10) || chr(10) || '**Context:** "' || context || '"', '')) AS prompt_md5,
 context IS NOT NULL AS has_context FROM questions LEFT JOIN ctx USING (query_id)""",
     "eval_hit_at_k": f"""WITH {retrieval([DOCUMENT_ITEMS], BENCHMARK_QUESTIONS, 256, 5)},
 q AS (SELECT query_id, CASE WHEN length(question) < 200 THEN 'short' ELSE 'long' END AS evolution_type,
@@ -257,17 +265,19 @@ round(avg(coalesce(1 / first_hit, 0)), 6) AS mrr, round(avg(recall), 6) AS recal
 items AS (SELECT item_id * 100000 + chunk_no AS id, item_id, chunk_no, content FROM chunks),
 {cells_ctes('cells', 'items', 'id', 'content', 256, fitted=False)}
 SELECT item_id, chunk_no, md5(content) AS content_md5, slot, round(v, 5) AS value FROM cells JOIN items USING (id) WHERE abs(round(v, 5)) > 0.000005""",
-    "ingest_stream": f"WITH {sentence_ctes('benchmark', 'item_id')} SELECT item_id, chunk_no, content, 0::BIGINT AS second_run, 256::BIGINT AS dim FROM chunks",
+    "ingest_stream": f"""WITH {sentence_ctes('benchmark', 'item_id')}, {chunk_cells('item_id')}
+SELECT item_id, chunk_no, content_md5, slot, value, 0::BIGINT AS second_run FROM chunk_cells""",
     "ingest_updates": f"""WITH files AS (SELECT doc_id, CASE lang WHEN 'fr' THEN 'Revu. ' || text WHEN 'de' THEN ' ' ELSE text END AS text
-FROM documents WHERE lang <> 'es'), {sentence_ctes('files', 'doc_id')}
-SELECT doc_id, chunk_no, md5(content) AS content_md5 FROM chunks""",
+FROM documents WHERE lang <> 'es'), {sentence_ctes('files', 'doc_id')}, {chunk_cells('doc_id')}
+SELECT * FROM chunk_cells""",
     "scan_by_path": "SELECT item_id, text || chr(10) AS text FROM benchmark WHERE item_id % 2 = 0",
     "embed_with_failures": "SELECT doc_id, CASE WHEN length(text) % 7 <> 0 THEN length(text) ELSE -1 END AS n_chars FROM documents",
-    "append_embeddings": f"""WITH {sentence_ctes('documents', 'doc_id')}
-SELECT 2 * count(*) AS n_rows, 2 * count(*) AS n_ids, 1::BIGINT AS first_id, 2 * count(*) AS last_id FROM chunks""",
+    "append_embeddings": f"""WITH {sentence_ctes('documents', 'doc_id')}, {chunk_cells('doc_id')},
+n AS (SELECT 2 * count(*) AS n FROM chunks)
+SELECT chunk_cells.*, 2::BIGINT AS n_copies, n AS n_rows, n AS n_ids, 1::BIGINT AS first_id, n AS last_id FROM chunk_cells, n""",
     "upsert_embeddings": f"""WITH second AS (SELECT doc_id, CASE lang WHEN 'fr' THEN 'Neu. ' || text
-WHEN 'de' THEN array_to_string(string_split(text, '.')[1:2], '.') ELSE text END AS text FROM documents), {sentence_ctes('second', 'doc_id')}
-SELECT 'doc-' || doc_id AS pdf_name, chunk_no, content FROM chunks""",
+WHEN 'de' THEN array_to_string(string_split(text, '.')[1:2], '.') ELSE text END AS text FROM documents), {sentence_ctes('second', 'doc_id')}, {chunk_cells('doc_id')}
+SELECT * FROM chunk_cells""",
     "diff_snapshots": f"""WITH {VERSIONS}
 SELECT coalesce(n.doc_id, o.doc_id) AS doc_id,
 CASE WHEN o.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete' ELSE 'update' END AS change,
@@ -287,4 +297,7 @@ SELECT id, CASE WHEN label >= 4 THEN label + 100 ELSE label END AS label, unnest
     "sync_triggered": f"""WITH {VECTORS}
 SELECT id, CASE WHEN label >= 4 THEN label + 100 ELSE label END AS label, unnest(range(0, 64)) AS slot, round(unnest(e)::DOUBLE, 6) AS value,
 0::BIGINT AS third_run FROM v WHERE label <> 2""",
+    "sync_versions": f"""WITH {VECTORS}
+SELECT id, CASE label WHEN 3 THEN 203 ELSE label END AS label, unnest(range(0, 64)) AS slot, round(unnest(e)::DOUBLE, 6) AS value
+FROM v WHERE label IN (0, 1, 3, 4, 5, 8)""",
 }

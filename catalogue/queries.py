@@ -30,6 +30,7 @@ from shelfmark.sources.tables import (
     append_embeddings,
     count_rows,
     create_embedding_table,
+    read_questions,
     read_table,
     replace_table,
     upsert_embeddings,
@@ -379,15 +380,20 @@ def prompts(spark: SparkSession, sf: str) -> DataFrame:
     index, embedder = _chunk_index(spark, sf)
     asked = materialize(embedder.transform(_chat_questions(spark, sf), "question", "qv", key="query_id"), "questions")
     hits = similarity_search(index, asked, 3, columns=["pdf_name", "content"])
-    built = build_prompts(asked, to_passages(asked, hits))
-    return built.select("query_id", F.md5("prompt").alias("prompt_md5"), "has_context")
+    built = build_prompts(asked, to_passages(asked, hits), system="Answer in one sentence, from the context alone.")
+    return built.select("query_id", "system", F.md5("prompt").alias("prompt_md5"), "has_context")
 
 
 def eval_hit_at_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The questions come from a CSV set, as they are handed over for an evaluation."""
     index, embedder = _document_index(spark, sf)
     kind = F.when(F.length("question") < 200, "short").otherwise("long")
-    questions = _benchmark_questions(spark, sf).withColumn("evolution_type", kind)
-    questions = questions.withColumn("ground_truth", F.col("question"))
+    asked_for = _benchmark_questions(spark, sf).select(
+        "question", F.col("question").alias("ground_truth"), kind.alias("evolution_type"), F.lit(True).alias("episode_done")
+    )
+    folder = scratch_path(spark, "question-set")
+    asked_for.write.option("header", "true").option("escape", '"').option("quoteAll", "true").csv(folder)
+    questions = assign_ids(read_questions(spark, folder)).withColumnRenamed("id", "query_id")
     asked = materialize(embedder.transform(questions, "question", "qv", key="query_id"), "questions")
     hits = similarity_search(index, asked, 5, columns=["content"])
     out = evaluate(asked, hits, 5)
@@ -437,10 +443,15 @@ def ingest_benchmark_files(spark: SparkSession, sf: str) -> DataFrame:
     return _chunk_cells(read_table(spark, name))
 
 
-def _chunk_cells(rows: DataFrame, digits: int = 5) -> DataFrame:
+def _doc_id(pattern: str) -> Column:
+    return F.regexp_extract("pdf_name", pattern, 1).cast("bigint").alias("doc_id")
+
+
+def _chunk_cells(rows: DataFrame, number: Column | None = None, digits: int = 5) -> DataFrame:
     """Every non-zero cell of the vectors of a table of chunks."""
-    keys = ["item_id", "chunk_no", "content_md5"]
-    named = rows.select(_item_id("pdf_name"), F.col("chunk_no").cast("bigint").alias("chunk_no"), F.md5("content").alias("content_md5"), to_cells(F.col("embedding")).alias("c"))
+    number = _item_id("pdf_name") if number is None else number
+    named = rows.select(number, F.col("chunk_no").cast("bigint").alias("chunk_no"), F.md5("content").alias("content_md5"), to_cells(F.col("embedding")).alias("c"))
+    keys = named.columns[:3]
     cells = unnest(named, keys, "c")
     cells = cells.select(*keys, F.col("slot").cast("bigint").alias("slot"), F.round("v", digits).alias("value"))
     return cells.where(F.abs("value") > 0.5 * 10.0**-digits)
@@ -458,9 +469,7 @@ def ingest_updates(spark: SparkSession, sf: str) -> DataFrame:
     for version in (first, docs.where("lang <> 'es'").withColumn("text", revised)):
         version.select(F.concat(F.lit("d"), "doc_id").alias("doc"), "text").write.mode("overwrite").partitionBy("doc").option("lineSep", "\n").text(folder)
         ingest_changes(spark, folder, name, embedder, manifest, "part-*", n_buckets=4, path=path)
-    rows = read_table(spark, name)
-    number = F.regexp_extract("pdf_name", "/doc=d([0-9]+)/", 1).cast("bigint").alias("doc_id")
-    return rows.select(number, F.col("chunk_no").cast("bigint").alias("chunk_no"), F.md5("content").alias("content_md5"))
+    return _chunk_cells(read_table(spark, name), _doc_id("/doc=d([0-9]+)/"))
 
 
 def ingest_file_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -472,26 +481,28 @@ def ingest_file_stream(spark: SparkSession, sf: str) -> DataFrame:
         ingest_stream(spark, folder, name, HashEmbedder(SMALL_DIM), checkpoint, n_buckets=4, path=path)
         for _ in range(2)
     ]
-    rows = read_table(spark, name)
-    return rows.select(
-        _item_id("pdf_name"), F.col("chunk_no").cast("bigint").alias("chunk_no"), "content",
-        F.lit(runs[1]).cast("bigint").alias("second_run"), F.size("embedding").cast("bigint").alias("dim"),
-    )
+    return _chunk_cells(read_table(spark, name)).withColumn("second_run", F.lit(runs[1]).cast("bigint"))
+
+
+def _embedded_chunks(docs: DataFrame, embedder: HashEmbedder) -> DataFrame:
+    chunks = chunk_text(docs, "doc_id")
+    rows = chunks.select(F.concat(F.lit("doc-"), "doc_id").alias("pdf_name"), "chunk_no", "content", "n_tokens")
+    return embedder.transform(rows, "content", "embedding", key=["pdf_name", "chunk_no"])
 
 
 def append_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Plain appends under generated ids: twice the rows, all ids distinct, without gaps."""
-    chunks = chunk_text(_documents(spark, sf), "doc_id")
-    rows = chunks.select(F.concat(F.lit("doc-"), "doc_id").alias("pdf_name"), "chunk_no", "content", "n_tokens")
-    rows = rows.withColumn("embedding", F.array(F.col("n_tokens").cast("float")))
+    embedder = HashEmbedder(SMALL_DIM)
+    rows = materialize(_embedded_chunks(_documents(spark, sf), embedder), "embedded")
     name, path = _fresh_table(spark, "shelfmark_appended")
-    create_embedding_table(spark, name, n_buckets=4, path=path)
-    append_embeddings(rows, name)
-    append_embeddings(rows, name)
-    ids = read_table(spark, name).agg(
-        F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
-    )
-    return ids
+    create_embedding_table(spark, name, embedder.embedder_id, n_buckets=4, path=path)
+    append_embeddings(rows, name, embedder.embedder_id)
+    append_embeddings(rows, name, embedder.embedder_id)
+    stored = read_table(spark, name)
+    ids = stored.agg(F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id")).first()
+    cells = _chunk_cells(stored, _doc_id("^doc-([0-9]+)$"))
+    copies = cells.groupBy(*cells.columns).agg(F.count("*").alias("n_copies"))
+    return copies.select("*", *[F.lit(n).cast("bigint").alias(c) for c, n in ids.asDict().items()])
 
 
 def upsert_chunks(spark: SparkSession, sf: str) -> DataFrame:
@@ -502,12 +513,11 @@ def upsert_chunks(spark: SparkSession, sf: str) -> DataFrame:
     )
     second = first.withColumn("text", F.coalesce(shorter, "text"))
     name, path = _fresh_table(spark, "shelfmark_upserted")
-    create_embedding_table(spark, name, n_buckets=8, path=path)
+    embedder = HashEmbedder(SMALL_DIM)
+    create_embedding_table(spark, name, embedder.embedder_id, n_buckets=8, path=path)
     for version in (first, second):
-        chunks = chunk_text(version, "doc_id")
-        rows = chunks.select(F.concat(F.lit("doc-"), "doc_id").alias("pdf_name"), "chunk_no", "content", "n_tokens")
-        upsert_embeddings(rows.withColumn("embedding", F.array(F.col("n_tokens").cast("float"))), name)
-    return read_table(spark, name).select("pdf_name", F.col("chunk_no").cast("bigint").alias("chunk_no"), "content")
+        upsert_embeddings(_embedded_chunks(version, embedder), name, embedder.embedder_id)
+    return _chunk_cells(read_table(spark, name), _doc_id("^doc-([0-9]+)$"))
 
 
 def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -588,6 +598,29 @@ def sync_triggered(spark: SparkSession, sf: str) -> DataFrame:
     return _index_out(spark, name).withColumn("third_run", F.lit(runs[2]).cast("bigint"))
 
 
+def sync_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions arrive out of order, one drop a run: older ones come late, also after a delete and
+    after a delete that came before any row."""
+    rows = _vectors(spark, sf)
+    folder, checkpoint = scratch_path(spark, "drops"), scratch_path(spark, "checkpoint")
+    name, path = _fresh_table(spark, "shelfmark_versions_index")
+
+    def change(where: str, version: int, kind: str, shift: int = 0) -> DataFrame:
+        label = (F.col("label") + shift).cast(rows.schema["label"].dataType)
+        return rows.where(where).withColumn("label", label).select("*", F.lit(version).alias("version"), F.lit(kind).alias("_change"))
+
+    drops = (
+        change("label < 6", 5, "insert"),
+        change("label = 2", 9, "delete").unionByName(change("label = 7", 4, "delete")),
+        change("label = 1", 3, "update", 100).unionByName(change("label IN (2, 7)", 3, "insert"))
+        .unionByName(change("label = 3", 6, "update", 200)).unionByName(change("label = 8", 1, "insert")),
+    )
+    for drop in drops:
+        drop.write.mode("append").parquet(folder)
+        sync_stream(spark, folder, drop.schema, name, checkpoint, dim=64, version_col="version", n_buckets=8, path=path)
+    return _index_out(spark, name)
+
+
 def scan_by_path(spark: SparkSession, sf: str) -> DataFrame:
     """Files picked by a part of their path."""
     files = scan_files(spark, _benchmark_files(spark, sf)).where(F.col("path").rlike("[02468]/[^/]*$"))
@@ -661,4 +694,5 @@ QUERIES = {
     "sync_text_index": sync_text_index,
     "direct_index": direct_index,
     "sync_triggered": sync_triggered,
+    "sync_versions": sync_versions,
 }

@@ -353,3 +353,26 @@ def test_texts_without_a_vector_are_embedded_once(spark, table, folder):
     assert [r[0] for r in rows(index_rows(spark, name).select("id"))] == [2, 4]
     assert sync([(1, "back"), (2, "two now"), (4, "four")])["insert"] == 1
     drop_index(spark, name)
+
+
+def test_many_reads_rewrite_the_table_once(spark, table, folder, tmp_path, monkeypatch):
+    import shelfmark.plans.ingest as plan
+    import shelfmark.sources.keyed as keyed
+
+    for i in range(6):
+        write(tmp_path, f"f{i}.txt", f"Text of file {i}.")
+    rewrites = []
+    switch = keyed.switch_buckets
+    monkeypatch.setattr(plan, "PATHS_PER_READ", 2)
+    monkeypatch.setattr(keyed, "switch_buckets", lambda *a: (rewrites.append(a[1]), switch(*a)))
+    name, path = table("read_in_parts")
+    manifest = folder("manifest")
+    run = lambda: ingest_changes(spark, str(tmp_path), name, HashEmbedder(8), manifest, "*.txt", n_buckets=2, path=path)
+    assert run()["insert"] == 6
+    assert rewrites == [name]
+    write(tmp_path, "f0.txt", "Another text.")
+    (tmp_path / "f1.txt").unlink()
+    assert run() == {"insert": 0, "update": 1, "delete": 1, "rejected": 0}
+    assert rewrites == [name] * 2
+    assert run() == {"insert": 0, "update": 0, "delete": 0, "rejected": 0}
+    assert rewrites == [name] * 2
