@@ -12,6 +12,10 @@ import pyarrow.compute as pc
 # how the rows were split over tasks.
 SCORE_DIGITS = 6
 _SLICE_CELLS = 4_000_000
+# Queries of one block; rows are taken by as many as make a slice with them.
+_BLOCK_QUERIES = 2_048
+# Rows that may pass the bar, for each of the k wanted, before a block's own k-th is looked for.
+_LOOSE = 4
 # Components from which on a sum of products may leave the range of single precision.
 _WIDE = 1e15
 _SLACK = 2.5 * 10.0**-SCORE_DIGITS
@@ -24,7 +28,7 @@ def float_matrix(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     values = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False)
     matrix = np.asarray(values, dtype=np.float32).reshape(len(rows), dim)
     usable = np.isfinite(matrix).all(axis=1) & (matrix != 0).any(axis=1)
-    return rows[usable], matrix[usable]
+    return (rows, matrix) if usable.all() else (rows[usable], matrix[usable])
 
 
 def pair_scores(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
@@ -40,65 +44,126 @@ def pair_scores(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
     return np.round(score, SCORE_DIGITS)
 
 
+def _slices(rows: np.ndarray) -> list[slice]:
+    """Rows by blocks whose copy in double precision is small."""
+    step = max(1, _SLICE_CELLS // max(1, rows.shape[1]))
+    return [slice(at, at + step) for at in range(0, len(rows), step)]
+
+
 def lengths_of(rows: np.ndarray) -> np.ndarray:
     """Euclidean lengths in double precision, whatever the size of the components."""
-    wide = rows.astype(np.float64)
-    return np.sqrt(np.einsum("ij,ij->i", wide, wide))
+    out = np.empty(len(rows))
+    for part in _slices(rows):
+        wide = rows[part].astype(np.float64)
+        out[part] = np.sqrt(np.einsum("ij,ij->i", wide, wide))
+    return out
 
 
 def unit_rows(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Rows scaled in double precision to length one, then in single."""
-    return (rows.astype(np.float64) / lengths[:, None]).astype(np.float32)
+    out = np.empty(rows.shape, np.float32)
+    for part in _slices(rows):
+        out[part] = rows[part].astype(np.float64) / lengths[part, None]
+    return out
 
 
 @dataclass
 class BestRows:
-    """The k best rows seen so far for each of a set of queries."""
+    """The k best rows seen so far for each of a set of queries.
+
+    Queries and rows meet in blocks of bounded size, so that the work of a block does not grow with
+    the number of queries: a block touches the state of its own queries alone.
+    """
 
     queries: np.ndarray
     metric: str
     k: int
 
     def __post_init__(self) -> None:
-        self.query = np.zeros(0, np.int64)
-        self.row_id = np.zeros(0, np.int64)
-        self.score = np.zeros(0)
+        n = len(self.queries)
+        # Of each query the rows held, best first; as wide as rows were offered, at most k.
+        self._ids = np.zeros((n, 0), np.int64)
+        self._scores = np.zeros((n, 0))
+        self._held = np.zeros(n, np.int64)
+        self._offered = 0
         self.norms = lengths_of(self.queries)
-        self.bar = np.full(len(self.queries), -np.inf)  # the k-th closeness so far
+        self.bar = np.full(n, -np.inf)  # the k-th closeness so far
         self.left = unit_rows(self.queries, self.norms) if self.metric == "cosine" else self.queries
         self.largest = float(np.abs(self.queries).max(initial=0))
 
+    @property
+    def query(self) -> np.ndarray:
+        """Positions of the queries of the rows held, in order."""
+        return np.repeat(np.arange(len(self.queries)), self._held)
+
+    @property
+    def row_id(self) -> np.ndarray:
+        return self._ids[self._filled(slice(None))]
+
+    @property
+    def score(self) -> np.ndarray:
+        return self._scores[self._filled(slice(None))]
+
+    def _filled(self, some) -> np.ndarray:
+        return np.arange(self._ids.shape[1]) < self._held[some][:, None]
+
     def add(self, ids: np.ndarray, rows: np.ndarray, which: np.ndarray | None = None) -> None:
         """Offer rows to all queries, or to the queries at the positions ``which``."""
         which = np.arange(len(self.queries)) if which is None else which
-        if not len(which):
+        if not len(which) or not len(ids):
             return
-        step = max(1, _SLICE_CELLS // len(which))
-        for at in range(0, len(ids), step):
-            self._offer(ids[at : at + step], rows[at : at + step], which)
-
-    def _offer(self, ids: np.ndarray, rows: np.ndarray, which: np.ndarray) -> None:
+        self._offered += len(ids)
+        more = min(self.k, self._offered) - self._ids.shape[1]
+        if more > 0:
+            self._ids = np.pad(self._ids, ((0, 0), (0, more)))
+            self._scores = np.pad(self._scores, ((0, 0), (0, more)))
         norms = lengths_of(rows)
         right = unit_rows(rows, norms) if self.metric == "cosine" else rows
+        step = max(_BLOCK_QUERIES, _SLICE_CELLS // min(len(which), _BLOCK_QUERIES))
+        for at in range(0, len(ids), step):
+            part = slice(at, at + step)
+            # Products that single precision could not hold are taken in double at once.
+            wide = self.metric != "cosine" and max(self.largest, float(np.abs(rows[part]).max(initial=0))) > _WIDE
+            kind = np.float64 if wide else np.float32
+            for first in range(0, len(which), _BLOCK_QUERIES):
+                self._offer(ids[part], rows[part], right[part], norms[part], which[first : first + _BLOCK_QUERIES], kind)
+
+    def _offer(self, ids: np.ndarray, rows: np.ndarray, right: np.ndarray, norms: np.ndarray, which: np.ndarray, kind: type) -> None:
         # Single precision finds the candidates; the error bound widens the cut so that
-        # none is missed, and the survivors are scored again in double precision. Products
-        # that single precision could not hold are taken in double at once.
-        wide = self.metric != "cosine" and max(self.largest, float(np.abs(rows).max(initial=0))) > _WIDE
-        kind = np.float64 if wide else np.float32
-        close = self.left[which].astype(kind) @ right.T.astype(kind)
+        # none is missed, and the survivors are scored again in double precision.
         unit_error = (rows.shape[1] + 8) * float(np.finfo(kind).eps)
-        bar = self.bar[which]
+        left, lengths = self.left[which].astype(kind, copy=False), self.norms[which]
+        right = right.astype(kind, copy=False)
+        # For l2, what orders the rows of a query: its own squared length is taken off the cut.
+        close, shift = left @ right.T, 0.0
         if self.metric == "l2":
-            lengths = self.norms[which]
-            close = 2 * close - lengths[:, None] ** 2 - norms[None, :] ** 2
-            error = 2 * unit_error * (lengths + norms.max()) ** 2
-            bar = self._kth(close, bar)
-            reach = np.sqrt(np.maximum(-bar, 0) + error) + _SLACK
-            bar = np.where(np.isfinite(bar), -(reach**2) - error, bar)
-        else:
-            scale = 1.0 if self.metric == "cosine" else self.norms[which] * norms.max()
-            bar = self._kth(close, bar) - 2 * unit_error * scale - _SLACK
-        query, column = np.nonzero(close >= bar[:, None])
+            close *= 2
+            close -= (norms**2).astype(kind)[None, :]
+            shift = lengths**2
+
+        def cut(bar: np.ndarray) -> np.ndarray:
+            if self.metric == "l2":
+                error = 2 * unit_error * (lengths + norms.max()) ** 2
+                reach = np.sqrt(np.maximum(-bar, 0) + error) + _SLACK
+                low = np.where(np.isfinite(bar), -(reach**2) - error, bar) + shift
+            else:
+                scale = 1.0 if self.metric == "cosine" else lengths * norms.max()
+                low = bar - 2 * unit_error * scale - _SLACK
+            return np.nextafter(low.astype(kind), kind(-np.inf))[:, None]
+
+        bar = self.bar[which]
+        near = close >= cut(bar)
+        query, column = np.divmod(np.flatnonzero(near), close.shape[1])
+        # Where the bar lets many rows pass, the k-th of this block is a better one.
+        loose = np.flatnonzero(np.bincount(query) > _LOOSE * self.k)
+        if len(loose) and close.shape[1] >= self.k:
+            at = close.shape[1] - self.k
+            kth = np.partition(close[loose], at, axis=1)[:, at] - (shift[loose] if self.metric == "l2" else 0.0)
+            bar[loose] = np.maximum(bar[loose], kth)
+            near[loose] = close[loose] >= cut(bar)[loose]
+            query, column = np.divmod(np.flatnonzero(near), close.shape[1])
+        if not len(query):
+            return
         query = which[query]
         score = np.empty(len(query))
         block = max(1, _SLICE_CELLS // rows.shape[1])
@@ -107,22 +172,20 @@ class BestRows:
             score[at : at + block] = pair_scores(self.queries[q], rows[c], self.metric)
         self._merge(query, ids[column], score)
 
-    def _kth(self, close: np.ndarray, bar: np.ndarray) -> np.ndarray:
-        if close.shape[1] < self.k:
-            return bar
-        at = close.shape[1] - self.k
-        return np.maximum(bar, np.partition(close, at, axis=1)[:, at])
-
     def _merge(self, query: np.ndarray, row_id: np.ndarray, score: np.ndarray) -> None:
-        query = np.concatenate([self.query, query])
-        row_id = np.concatenate([self.row_id, row_id])
-        score = np.concatenate([self.score, score])
+        """Take rows into the state of the queries that they are offered to, and no other."""
+        some = np.unique(query)
+        at, place = np.nonzero(self._filled(some))
+        query = np.concatenate([some[at], query])
+        row_id = np.concatenate([self._ids[some[at], place], row_id])
+        score = np.concatenate([self._scores[some[at], place], score])
         order = np.lexsort((row_id, score if self.metric == "l2" else -score, query))
         query, row_id, score = query[order], row_id[order], score[order]
-        first = np.searchsorted(query, query, side="left")
-        place = np.arange(len(query)) - first
+        place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         kept = place < self.k
-        full = query[place == self.k - 1]
-        kth = score[place == self.k - 1]
-        self.bar[full] = -(kth**2) if self.metric == "l2" else kth
-        self.query, self.row_id, self.score = query[kept], row_id[kept], score[kept]
+        query, row_id, score, place = query[kept], row_id[kept], score[kept], place[kept]
+        self._ids[query, place], self._scores[query, place] = row_id, score
+        last = np.flatnonzero(np.diff(query, append=-1))
+        self._held[query[last]] = place[last] + 1
+        full = last[place[last] == self.k - 1]
+        self.bar[query[full]] = -(score[full] ** 2) if self.metric == "l2" else score[full]

@@ -202,3 +202,38 @@ def test_payload_is_read_from_probed_lists_only(spark):
     hits = search_ann(built, as_queries(index.where("id = 3")), 2, nprobe=1, columns=["grp"])
     scans = [line for line in plan_of(hits).splitlines() if "grp" in line and "FileScan" in line]
     assert scans and all("PartitionFilters: []" not in line for line in scans)
+
+
+def test_work_of_a_block_does_not_grow_with_the_queries(monkeypatch):
+    """Rows came some at a time for many queries, and the state of all of them was sorted for each."""
+    from shelfmark.operators import topk
+
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(5_000, DIM)).astype(np.float32)
+    sizes, merge = [], topk.BestRows._merge
+    monkeypatch.setattr(topk, "_SLICE_CELLS", 1_000)
+    monkeypatch.setattr(topk, "_BLOCK_QUERIES", 100, raising=False)
+    monkeypatch.setattr(topk.BestRows, "_merge", lambda self, q, i, s: (sizes.append(len(np.unique(q))), merge(self, q, i, s)))
+    for metric in ("cosine", "dot", "l2"):
+        best = topk.BestRows(data[:300], metric, 3)
+        for at in range(0, 400, 40):
+            best.add(np.arange(at, at + 40), data[at : at + 40], np.arange(299, -1, -1) if at == 80 else None)
+        got = {}
+        for q, i in zip(best.query.tolist(), best.row_id.tolist(), strict=True):
+            got.setdefault(q, []).append(i)
+        assert got == brute(data[:400], data[:300], 3, metric)
+    assert max(sizes) <= 100
+
+
+def test_many_queries_are_dealt_over_tasks(spark, monkeypatch):
+    """One file is one task, and small cells are many copies of a row: tasks follow the products."""
+    from shelfmark.operators import search
+
+    data, index = make_rows(spark, 150)
+    monkeypatch.setattr(search, "MANY_QUERIES", 100, raising=False)
+    monkeypatch.setattr(search, "TASK_PRODUCTS", 150 * 150 * DIM // 8, raising=False)
+    hits = similarity_search(index.coalesce(1), as_queries(index), 3)
+    assert "RoundRobinPartitioning(8)" in plan_of(hits) and found(hits) == brute(data, data, 3, "cosine")
+    monkeypatch.setattr(search, "TASK_PRODUCTS", 1 << 36, raising=False)
+    hits = similarity_search(index, as_queries(index), 3, broadcast_bytes=1, cell_bytes=4 * DIM)
+    assert f"{search.MAX_COPIES**2}), REPARTITION_BY_NUM" in plan_of(hits) and found(hits) == brute(data, data, 3, "cosine")
