@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.ann import AnnIndex, build_ann
-from shelfmark.operators.search import DEFAULT_K, similarity_search
+from shelfmark.operators.search import DEFAULT_K, MAX_TASKS, similarity_search
 from shelfmark.operators.topk import SCORE_DIGITS, float_matrix, pair_scores
-from shelfmark.session import ship_package
+from shelfmark.session import materialize, ship_package
 
 #: Words of a codebook: a code is one byte a part.
 MAX_WORDS = 256
@@ -185,8 +185,11 @@ def search_pq(pq: PqIndex, queries: DataFrame, k: int = DEFAULT_K, nprobe: int =
     near = similarity_search(ann.centroids(spark), queries, k=min(nprobe, ann.n_lists), metric=ann.metric, key="list_id", vector_col="centroid", query_vector_col=query_vector_col, dim=ann.dim)
     asked = queries.select(F.col("query_id").cast("long"), F.col(query_vector_col).cast("array<float>").alias("qv"))
     sizes = pq.codes(spark).groupBy("list_id").agg(F.ceil(F.count("*") / cell_rows).cast("int").alias("n_parts"))
-    sizes = F.broadcast(sizes)  # a row for each list, whose centroids fit the driver
+    sizes = materialize(sizes, "list-sizes")
     n_groups = max(1, -(-asked.count() // cell_queries))
+    # Cells are dealt to tasks by number: codes are short, and their bytes say little about the time they take.
+    n_tasks = max(1, min(MAX_TASKS, (sizes.agg(F.sum("n_parts")).first()[0] or 0) * n_groups))
+    sizes = F.broadcast(sizes)  # a row for each list, whose centroids fit the driver
     group = F.pmod(F.xxhash64("query_id"), F.lit(n_groups)).cast("int").alias("grp")
     probes = near.select("query_id", F.col("id").cast("long").alias("list_id")).join(asked, "query_id").join(sizes, "list_id")
     probes = probes.select("list_id", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part"), group, "query_id", "qv")
@@ -204,11 +207,13 @@ def search_pq(pq: PqIndex, queries: DataFrame, k: int = DEFAULT_K, nprobe: int =
         vectors = _points(_matrix(left, "qv", centers.shape[1]), metric) - centers[np.searchsorted(lists, at)]
         asked, ids = left["query_id"].to_numpy(), right["id"].to_numpy()
         codes = np.frombuffer(b"".join(right["code"].to_pylist()), np.uint8).reshape(-1, n_sub)
+        # Places in the table of a question, part after part.
+        places = codes.T.astype(np.intp) + np.arange(n_sub)[:, None] * books.shape[1]
         found = []
         for q, parts in zip(asked.tolist(), _parts(vectors, n_sub), strict=True):
             gap = parts[:, None, :] - books
             table = np.einsum("swc,swc->sw", gap, gap)
-            d = np.round(table[np.arange(n_sub)[None], codes].sum(1), SCORE_DIGITS)
+            d = np.round(table.take(places).sum(0), SCORE_DIGITS)
             some = np.arange(len(d))
             if len(d) > shortlist:
                 some = np.flatnonzero(d <= np.partition(d, shortlist - 1)[shortlist - 1])
@@ -216,6 +221,7 @@ def search_pq(pq: PqIndex, queries: DataFrame, k: int = DEFAULT_K, nprobe: int =
             found.append((np.full(len(some), q), ids[some], np.full(len(some), at), d[some]))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], schema=out)
 
+    probes, rows = probes.repartition(n_tasks, *cell), rows.repartition(n_tasks, *cell)
     short = probes.groupBy(*cell).cogroup(rows.groupBy(*cell)).applyInArrow(nearest, "query_id long, id long, list_id long, d double")
     order = Window.partitionBy("query_id").orderBy("d", "id")
     short = short.withColumn("place", F.row_number().over(order)).where(F.col("place") <= shortlist).select("query_id", "id", "list_id")

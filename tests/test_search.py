@@ -237,3 +237,12 @@ def test_many_queries_are_dealt_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(search, "TASK_PRODUCTS", 1 << 36, raising=False)
     hits = similarity_search(index, as_queries(index), 3, broadcast_bytes=1, cell_bytes=4 * DIM)
     assert f"{search.MAX_COPIES**2}), REPARTITION_BY_NUM" in plan_of(hits) and found(hits) == brute(data, data, 3, "cosine")
+
+
+def test_cells_of_codes_are_dealt_by_number(spark):
+    """Codes are so short that all cells came to a few tasks, however many questions there were."""
+    data, index = make_rows(spark, 300)
+    pq = build_pq(index, DIM, n_sub=4, n_lists=3)
+    hits = search_pq(pq, as_queries(index), 3, nprobe=3, shortlist=300, cell_queries=20)
+    lists = pq.codes(spark).select("list_id").distinct().count()
+    assert f"{lists * 15}), REPARTITION_BY_NUM" in plan_of(hits) and found(hits) == brute(data, data, 3, "cosine")
