@@ -376,3 +376,16 @@ def test_many_reads_rewrite_the_table_once(spark, table, folder, tmp_path, monke
     assert rewrites == [name] * 2
     assert run() == {"insert": 0, "update": 0, "delete": 0, "rejected": 0}
     assert rewrites == [name] * 2
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, folder):
+    """Each folder was a task of its own."""
+    path = folder("many-folders")
+    spark.range(80).selectExpr("id", "concat('text ', id) AS text").coalesce(1).write.partitionBy("id").text(path)
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    files = scan_files(spark, path, "part-*")
+    tracker = context.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert files.count() == 80 and tasks and max(tasks) <= 4 * context.defaultParallelism
