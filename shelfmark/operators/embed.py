@@ -68,16 +68,29 @@ class HashEmbedder:
         """``df`` with the vector column ``out``.
 
         A vocabulary within the broadcast bounds is looked up inside the scan stage,
-        without a shuffle. A larger one is joined by term, hot terms apart, and the
-        weights come back by a number given to each row; the input is stored for that, so
-        it is computed once. ``key`` is not needed for either way.
+        without a shuffle. Of a larger one the most frequent terms within the bounds are; only
+        the others, few in a text, are joined by term, hot terms apart, and their weights
+        come back by a number given to each row. The input is stored for that, so it is
+        computed once. ``key`` is not needed for either way.
         """
         if self.stats is None:
             return df.withColumn(out, unit_vector(_plain_entries(F.col(text_col), self.dim), self.dim))
         if self.stats.n_terms <= broadcast_terms and self.stats.term_bytes <= BROADCAST_BYTES:
             return self._transform_in_place(df, text_col, out)
         numbered = materialize(df.withColumn("_row_no", F.monotonically_increasing_id()), "numbered")
-        return self._transform_by_join(numbered, text_col, out, ["_row_no"], hot_keys, broadcast_facts).drop("_row_no")
+        least_df = self._least_broadcast_df(df.sparkSession, broadcast_terms)
+        if least_df is None:
+            return self._transform_by_join(numbered, text_col, out, ["_row_no"], hot_keys, broadcast_facts).drop("_row_no")
+        return self._transform_rare_by_join(numbered, text_col, out, least_df, hot_keys, broadcast_facts).drop("_row_no")
+
+    def _least_broadcast_df(self, spark, broadcast_terms: int) -> int | None:
+        """The document frequency from which on all terms fit the broadcast bounds together."""
+        sizes = self.stats.terms(spark).groupBy("df").agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("b"))
+        # One row per distinct frequency: their number grows with the root of the postings at most.
+        table = sizes.orderBy(F.desc("df")).toArrow()
+        n, b = np.cumsum(table["n"].to_numpy()), np.cumsum(table["b"].to_numpy())
+        fits = int(np.count_nonzero((n <= broadcast_terms) & (b <= BROADCAST_BYTES)))
+        return int(table["df"][fits - 1].as_py()) if fits else None
 
     def _transform_in_place(self, df: DataFrame, text_col: str, out: str) -> DataFrame:
         spark, dim = df.sparkSession, self.dim
@@ -91,6 +104,30 @@ class HashEmbedder:
 
         return df.withColumn(out, embed(terms(F.col(text_col))))
 
+    def _transform_rare_by_join(self, numbered, text_col, out, least_df, hot_keys, broadcast_facts) -> DataFrame:
+        spark, dim = numbered.sparkSession, self.dim
+        ship_package(spark)
+        shared = _shared_terms(spark, self.stats, dim, least_df)
+
+        @F.arrow_udf("array<string>")
+        def others(found: pa.Array) -> pa.Array:
+            return _terms_outside(found, shared.value[0])
+
+        @F.arrow_udf("array<float>")
+        def embed(found: pa.Array, rare: pa.Array) -> pa.Array:
+            known, slots, weights = shared.value
+            return _embed_batch(found, known, slots, weights, dim, rare)
+
+        listed = numbered.select("_row_no", F.explode_outer(others(terms(F.col(text_col)))).alias("term"))
+        postings = materialize(listed.where(F.col("term").isNotNull()), "postings")
+        counts = postings.groupBy("term").agg(F.count("*").alias("n"))
+        signed = self.stats.signed_terms(spark, dim).where(F.col("df") < least_df).select("term", "slot", "weight")
+        weighted = keyed_lookup(postings, signed, "term", counts, hot_keys, broadcast_facts)
+        # One group is one text, so what is collected is bounded by that text.
+        rare = weighted.groupBy("_row_no").agg(F.collect_list(F.struct("term", "slot", "weight")).alias("_rare"))
+        joined = numbered.join(rare, "_row_no", "left")
+        return joined.withColumn(out, embed(terms(F.col(text_col)), F.col("_rare"))).drop("_rare")
+
     def _transform_by_join(self, df, text_col, out, key, hot_keys, broadcast_facts) -> DataFrame:
         spark = df.sparkSession
         entries = df.select(*key, term_counts(F.col(text_col)).alias("_e"))
@@ -108,11 +145,11 @@ class HashEmbedder:
         return df.join(vectors, key, "left")
 
 
-def _shared_terms(spark, stats: CorpusStats, dim: int):
-    """The broadcast vocabulary, kept for the next use of the same embedder."""
-    name = (spark.sparkContext.applicationId, stats.path, stats.fingerprint, dim)
+def _shared_terms(spark, stats: CorpusStats, dim: int, least_df: int = 0):
+    """The broadcast vocabulary, or its terms from ``least_df`` on, kept for the next use of the same embedder."""
+    name = (spark.sparkContext.applicationId, stats.path, stats.fingerprint, dim, least_df)
     if name not in _shared:
-        table = stats.signed_terms(spark, dim).select("term", "slot", "weight").toArrow()
+        table = stats.signed_terms(spark, dim).where(F.col("df") >= least_df).select("term", "slot", "weight").toArrow()
         _shared[name] = spark.sparkContext.broadcast(
             (table["term"].combine_chunks(), table["slot"].to_numpy(), table["weight"].to_numpy())
         )
@@ -131,14 +168,43 @@ def _plain_entries(text, dim: int):
     )
 
 
-def _embed_batch(found: pa.Array, known: pa.Array, slots, weights, dim: int) -> pa.Array:
-    """Vectors for a batch of term lists, by one hash lookup over the whole batch."""
+def _rows_of(lists: pa.Array) -> np.ndarray:
+    """For each value of an array of lists, the position of its list."""
+    return np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+
+
+def _terms_outside(found: pa.Array, known: pa.Array) -> pa.Array:
+    """Of each list of terms, the distinct ones that are not among ``known``."""
+    words = found.flatten()
+    outside = pc.invert(pc.is_in(words, value_set=known)).to_numpy(zero_copy_only=False)
+    rows, words = _rows_of(found)[outside], words.filter(pa.array(outside)).dictionary_encode()
+    pairs = np.unique(rows * max(len(words.dictionary), 1) + words.indices.to_numpy(zero_copy_only=False))
+    rows, codes = np.divmod(pairs, max(len(words.dictionary), 1))
+    offsets = np.searchsorted(rows, np.arange(len(found) + 1))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.dictionary.take(pa.array(codes)))
+
+
+def _embed_batch(found: pa.Array, known: pa.Array, slots, weights, dim: int, rare: pa.Array | None = None) -> pa.Array:
+    """Vectors for a batch of term lists, by one hash lookup over the whole batch.
+
+    ``rare`` has for each list the terms outside ``known`` with their slots and weights.
+    """
     n = len(found)
-    rows = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
-    codes = pc.fill_null(pc.index_in(found.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False)
+    rows, words = _rows_of(found), found.flatten()
+    codes = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False)
+    more = pa.array([]) if rare is None else rare.flatten()
+    if len(more):
+        term = more.field("term").dictionary_encode()
+        # A term has one slot and weight, whichever list it comes from: its first place will do.
+        _, first = np.unique(term.indices.to_numpy(zero_copy_only=False), return_index=True)
+        other = pc.fill_null(pc.index_in(words, value_set=term.dictionary), -1).to_numpy(zero_copy_only=False)
+        codes = np.where(codes < 0, np.where(other < 0, -1, other + len(known)), codes)
+        slots = np.concatenate([slots, more.field("slot").to_numpy(zero_copy_only=False)[first]])
+        weights = np.concatenate([weights, more.field("weight").to_numpy(zero_copy_only=False)[first]])
+    n_terms = max(len(slots), 1)
     rows, codes = rows[codes >= 0], codes[codes >= 0].astype(np.int64)
-    pairs, tf = np.unique(rows * max(len(known), 1) + codes, return_counts=True)
-    rows, codes = np.divmod(pairs, max(len(known), 1))
+    pairs, tf = np.unique(rows * n_terms + codes, return_counts=True)
+    rows, codes = np.divmod(pairs, n_terms)
     values = (1 + np.log(tf)) * weights[codes]
     cells = np.bincount(rows * dim + slots[codes], weights=values, minlength=n * dim).reshape(n, dim)
     norms = np.sqrt(np.einsum("ij,ij->i", cells, cells))

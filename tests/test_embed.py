@@ -152,3 +152,20 @@ def test_large_vocabulary_needs_no_key(spark):
     far = embedder.transform(df, broadcast_terms=0, broadcast_facts=0).collect()
     shape = lambda rows: sorted((r.content or "", [round(x, 5) for x in r.embedding or []]) for r in rows)
     assert shape(near) == shape(far) and near[0].asDict().keys() == far[0].asDict().keys()
+
+
+def test_only_rare_terms_of_a_large_vocabulary_are_joined(spark, monkeypatch):
+    """All terms went through the shuffle where the vocabulary did not fit the broadcast as a whole."""
+    texts = [(i, f"common word{i % 3} rare{i} " * (1 + i % 2)) for i in range(40)] + [(90, None), (91, ""), (92, "common")]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    embedder = HashEmbedder.fit(docs, "text", 64)
+    asked = spark.createDataFrame([(100, "rare7 rare7 unseen common"), (101, "unseen"), (102, None)], "id long, text string")
+    monkeypatch.setattr(HashEmbedder, "_transform_by_join", None)
+    for rows in (docs, docs.unionByName(asked)):
+        plain = {r.id: r.embedding for r in embedder.transform(rows, "text").collect()}
+        for options in ({"broadcast_facts": 0}, {}):
+            got = {r.id: r.embedding for r in embedder.transform(rows, "text", broadcast_terms=4, **options).collect()}
+            assert set(got) == set(plain)
+            for key, vector in plain.items():
+                assert (got[key] is None) == (vector is None)
+                assert vector is None or got[key] == pytest.approx(vector, abs=1e-6)
