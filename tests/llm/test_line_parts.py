@@ -11,7 +11,7 @@ def long_lines():
     tokens of the last line are all but a few of the first one's."""
     draw = random.Random(5)
     lines = [[f"rare{k}" for k in range(10)] + [f"w{draw.randrange(3000)}" for _ in range(90)] for _ in range(60)]
-    common = " ".join(f"w{k}" for k in range(3000))
+    common = " ".join([f"w{k}" for k in range(3000)] * 100)  # the other words are frequent
     return [common, *[" ".join(x) for x in lines], " ".join(lines[0][:-4] + ["other"])]
 
 
