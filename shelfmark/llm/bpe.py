@@ -166,3 +166,8 @@ class Encoder:
 def encoder(path: str, spaced: bool) -> Encoder:
     """One per task process: workers live on between batches and tasks."""
     return Encoder(path, spaced)
+
+
+def forget_pieces() -> None:
+    """Give up the pieces that this process remembers, for a step that encodes nothing."""
+    encoder.cache_clear()

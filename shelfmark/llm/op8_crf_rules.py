@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.llm.bpe import forget_pieces
 from shelfmark.llm.linestats import DIGIT, LETTER, NEWLINE, PUNCT, SPACE, STOP, SYMBOL, UPPER, LineStats, line_stats, repeated_window_words
 from shelfmark.llm.words import documents, per_batch, portions
 from shelfmark.session import ship_package
@@ -25,6 +26,8 @@ from shelfmark.session import ship_package
 BOILERPLATE, CONTENT = 0, 1
 #: Bound of the labelled sample that the field is fitted on.
 MAX_TRAIN_DOCS = 3000
+#: Rows whose texts ``keep_content`` holds as Python strings at a time.
+KEEP_ROWS = 1000
 
 
 def line_features(stats: LineStats) -> np.ndarray:
@@ -227,10 +230,13 @@ def keep_content(docs: DataFrame, crf: LineCrf | None, min_content: float = 0.5)
     ship_package(docs.sparkSession)
 
     def keep(batches):
+        # A worker lives on from job to job, with the pieces that it has encoded for an earlier one.
+        forget_pieces()
         for batch in batches:
-            if batch.num_rows:
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                yield batch.filter(pa.array(judge_texts(texts, crf, min_content)["kept"]))
+            for start in range(0, batch.num_rows, KEEP_ROWS):
+                part = batch.slice(start, KEEP_ROWS)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                yield part.filter(pa.array(judge_texts(texts, crf, min_content)["kept"]))
 
     return docs.mapInArrow(keep, docs.schema)
 
