@@ -17,6 +17,8 @@ def test_most_of_a_crowd_is_settled_before_all_its_pairs_are_asked(spark, monkey
     sets = [set(t.split()) for t in texts]
     similar = lambda a, b: 180 * len(a & b) >= 80 * (len(a) + len(b))
     want = {i for i, s in enumerate(sets) if any(similar(s, sets[j]) for j in range(i))}
+    # Lines of words of their own, beside which the crowd is a small part.
+    texts += [" ".join(f"own{i}x{k}" for k in range(8)) for i in range(2500)]
     counts, verified = [], join._verified
 
     def counted(pairs, *rest):
