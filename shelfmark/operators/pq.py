@@ -90,11 +90,11 @@ def _residuals(batch: pa.RecordBatch, vector_col: str, lists: np.ndarray, center
     return _points(vectors, ann.metric) - centers[own]
 
 
-def train_codebooks(ann: AnnIndex, spark: SparkSession, n_sub: int, n_words: int = MAX_WORDS, rounds: int = 8, training_rows: int | None = 200_000) -> np.ndarray:
+def train_codebooks(ann: AnnIndex, spark: SparkSession, n_sub: int, n_words: int = MAX_WORDS, rounds: int = 8, training_rows: int | None = None) -> np.ndarray:
     """parts x words x components, by rounds of k-means for all parts at once.
 
-    Trained on about ``training_rows`` rows, chosen by hash of the key, or on all with None. A
-    round is one pass; sums per word are added up before anything reaches the driver, which
+    Trained on all rows, or on about ``training_rows``, chosen by hash of the key, when the
+    caller says so. A round is one pass; sums per word are added up before anything reaches the driver, which
     holds the codebooks alone: ``n_words`` times a vector.
     """
     ship_package(spark)
@@ -142,11 +142,12 @@ def _books(codebooks: DataFrame, n_sub: int) -> np.ndarray:
     return words.reshape(n_sub, n, -1)
 
 
-def build_pq(index: DataFrame, dim: int, n_sub: int = 16, metric: str = "cosine", codebooks: DataFrame | None = None, training_rows: int | None = 200_000, **lists) -> PqIndex:
+def build_pq(index: DataFrame, dim: int, n_sub: int = 16, metric: str = "cosine", codebooks: DataFrame | None = None, training_rows: int | None = None, **lists) -> PqIndex:
     """An inverted-list index with codes of ``n_sub`` bytes a row.
 
     ``codebooks(sub, code, word)`` are taken as given, with codes from 0 on; otherwise they are
-    trained. ``lists`` are options of ``build_ann``. Every valid row has a code.
+    trained, like the lists, on all rows, or on about ``training_rows`` when the caller says so.
+    ``lists`` are options of ``build_ann``. Every valid row has a code.
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(f"metric must be cosine or l2, got {metric!r}")

@@ -246,3 +246,23 @@ def test_cells_of_codes_are_dealt_by_number(spark):
     hits = search_pq(pq, as_queries(index), 3, nprobe=3, shortlist=300, cell_queries=20)
     lists = pq.codes(spark).select("list_id").distinct().count()
     assert f"{lists * 15}), REPARTITION_BY_NUM" in plan_of(hits) and found(hits) == brute(data, data, 3, "cosine")
+
+
+def test_codebooks_are_trained_on_all_rows(spark, folder, monkeypatch):
+    """About 200,000 rows were taken by default: a single word is the mean of all rows only if all are."""
+    from shelfmark.operators import pq as module
+
+    path = folder("many-vectors")
+    odd = F.pmod(F.xxhash64("id"), F.lit(1009)).cast("float")
+    spark.range(0, 210_000, 1, 4).select("id", F.array(odd, (odd * odd).cast("float")).alias("embedding")).where("embedding[0] > 0").write.parquet(path)
+    index = spark.read.parquet(path)
+    centroids = spark.createDataFrame([(0, [1.0, 2.0])], "list_id long, centroid array<float>")
+    ann = build_ann(index, 2, metric="l2", centroids=centroids)
+    word = module.train_codebooks(ann, spark, 1, n_words=1, rounds=1)[0, 0]
+    mean = index.agg(F.avg(F.col("embedding")[0].cast("double")) - 1, F.avg(F.col("embedding")[1].cast("double")) - 2).first()
+    assert np.allclose(word, list(mean), rtol=1e-9)
+    asked = []
+    monkeypatch.setattr(module, "build_ann", lambda *a, training_rows, **o: asked.append(training_rows) or ann)
+    monkeypatch.setattr(module, "train_codebooks", lambda *a, training_rows, **o: asked.append(training_rows) or word[None, None])
+    module.build_pq(index, 2, 1, "l2")
+    assert asked == [None, None]
