@@ -24,7 +24,7 @@ from shelfmark.operators.validate import validate_vectors
 from shelfmark.plans.index import create_or_sync_index, create_or_sync_text_index, delete_from_index, index_rows, upsert_index
 from shelfmark.plans.ingest import ingest_changes, ingest_files
 from shelfmark.plans.retrieve import retrieve
-from shelfmark.session import materialize, scratch_path, spread
+from shelfmark.session import free_shuffles, materialize, scratch_path, setting, spread
 from shelfmark.sources.files import scan_files
 from shelfmark.sources.tables import (
     append_embeddings,
@@ -78,12 +78,14 @@ def _chunk_index(spark: SparkSession, sf: str) -> tuple[DataFrame, HashEmbedder]
     # Sorting the documents rather than the chunks: chunking keeps the order, and the
     # range partitioner does not run it a second time to sample it.
     docs = _documents(spark, sf).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    numbered = assign_ids(chunk_text(docs, "doc_id"))
-    chunks = materialize(
-        numbered.select("id", F.concat(F.lit("doc-"), "doc_id").alias("pdf_name"), "content"), "chunks"
-    )
-    embedder = HashEmbedder.fit(chunks, "content", DIM)
-    return materialize(embedder.transform(chunks, key="id"), "index"), embedder
+    # Texts are stored twice, with their places and with their vectors, and compressed well.
+    with setting(spark, "spark.sql.parquet.compression.codec", "zstd"):
+        numbered = assign_ids(chunk_text(docs, "doc_id"))
+        chunks = numbered.select("id", F.concat(F.lit("doc-"), "doc_id").alias("pdf_name"), "content")
+        embedder = HashEmbedder.fit(chunks, "content", DIM)
+        index = materialize(embedder.transform(chunks, key="id"), "index")
+    free_shuffles(spark)
+    return index, embedder
 
 
 def _document_index(spark: SparkSession, sf: str) -> tuple[DataFrame, HashEmbedder]:

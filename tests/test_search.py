@@ -266,3 +266,20 @@ def test_codebooks_are_trained_on_all_rows(spark, folder, monkeypatch):
     monkeypatch.setattr(module, "train_codebooks", lambda *a, training_rows, **o: asked.append(training_rows) or word[None, None])
     module.build_pq(index, 2, 1, "l2")
     assert asked == [None, None]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_many_wide_questions_pass_over_the_index(spark, metric, monkeypatch):
+    """Both sides were copied to all cells: for 69,201 questions of 1,024 numbers many times the input."""
+    from shelfmark.operators import search
+
+    data, index = make_rows(spark, 150, copies=50)
+    odd = spark.createDataFrame([(900, None, 0), (901, [0.0] * DIM, 0), (902, [1.0], 0)], "query_id long, qv array<float>, grp int")
+    asked = as_queries(index).unionByName(odd)
+    monkeypatch.setattr(search, "MAX_COPIED", 0, raising=False)
+    monkeypatch.setattr(search, "HIT_BYTES", 1, raising=False)
+    options = {"broadcast_bytes": 4 * DIM * 40, "cell_bytes": 4 * DIM}
+    hits = similarity_search(index, asked, 4, metric, columns=["grp"], **options)
+    assert "CoGroup" not in plan_of(similarity_search(index, asked, 4, metric, **options))
+    assert found(hits) == brute(data, data, 4, metric) and hits.where("grp <> id % 4").count() == 0
+    assert similarity_search(index, asked.where("query_id = 901").union(asked.where("query_id = 901")), 4, metric, broadcast_bytes=1, cell_bytes=4 * DIM).count() == 0
