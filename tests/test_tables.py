@@ -389,3 +389,39 @@ def test_many_folders_are_listed_by_few_tasks(spark, folder):
     tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
     context.setLocalProperty("spark.jobGroup.id", None)
     assert files.count() == 80 and tasks and max(tasks) <= 4 * context.defaultParallelism
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, table, folder):
+    """Every few files were a task, and each task wrote a file for the next step to read."""
+    from catalogue.queries import _document_files
+    from shelfmark.session import setting
+
+    path = folder("small-files")
+    docs = spark.range(60).selectExpr("concat('d', id) AS doc", "concat('text ', id) AS text")
+    _document_files(spark, docs, path)
+    name, place = table("small_files")
+    context = spark.sparkContext
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "8m"):
+        context.setJobGroup("small-files", "small files")
+        done = ingest_changes(spark, path, name, HashEmbedder(8), folder("manifest"), "part-*", n_buckets=2, path=place)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    infos = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("small-files") for s in tracker.getJobInfo(j).stageIds]
+    assert done["insert"] == 60 and max(i.numTasks for i in infos if i) <= 4 * context.defaultParallelism
+    assert spark.table(name).where("content = 'text 7' AND pdf_name LIKE '%/doc=d7/part-%.txt'").count() == 1
+
+
+def test_document_files_are_those_of_spark(spark, folder):
+    """Texts of a document that comes twice, null texts and line ends are as Spark's writer has them."""
+    from catalogue.queries import _document_files
+
+    rows_in = [("d1", "a\nb"), ("d2", None), ("d3", "x"), ("d3", "x"), (None, "n"), ("d4", "")]
+    docs = spark.createDataFrame(rows_in, "doc string, text string").coalesce(1)
+    ours, theirs = folder("ours"), folder("theirs")
+    docs.write.partitionBy("doc").option("lineSep", "\n").text(theirs)
+    _document_files(spark, docs.where("doc = 'd3'").selectExpr("'d9' AS doc", "text"), ours)
+    _document_files(spark, docs, ours)
+    read = lambda path: sorted((r.path.split("/")[-2], bytes(r.content)) for r in scan_files(spark, path, "part-*").collect())
+    assert read(ours) == read(theirs) and len(read(ours)) == 5
+    _document_files(spark, docs.limit(0), ours)
+    assert scan_files(spark, ours, "part-*").count() == 0
