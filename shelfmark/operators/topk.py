@@ -50,6 +50,14 @@ def _slices(rows: np.ndarray) -> list[slice]:
     return [slice(at, at + step) for at in range(0, len(rows), step)]
 
 
+def slack_of(one: np.ndarray, two: np.ndarray, lengths: np.ndarray, longest: float) -> tuple[type, np.ndarray]:
+    """The precision that squared distances of ``one`` from ``two`` are to be taken in, and for each row of ``one``
+    what they may be off by, the rounding of scores included."""
+    wide = max(float(np.abs(one).max(initial=0)), float(np.abs(two).max(initial=0))) > _WIDE
+    kind = np.float64 if wide else np.float32
+    return kind, 2 * (one.shape[1] + 8) * float(np.finfo(kind).eps) * (lengths + longest) ** 2 + _SLACK
+
+
 def lengths_of(rows: np.ndarray) -> np.ndarray:
     """Euclidean lengths in double precision, whatever the size of the components."""
     out = np.empty(len(rows))

@@ -283,3 +283,37 @@ def test_many_wide_questions_pass_over_the_index(spark, metric, monkeypatch):
     assert "CoGroup" not in plan_of(similarity_search(index, asked, 4, metric, **options))
     assert found(hits) == brute(data, data, 4, metric) and hits.where("grp <> id % 4").count() == 0
     assert similarity_search(index, asked.where("query_id = 901").union(asked.where("query_id = 901")), 4, metric, broadcast_bytes=1, cell_bytes=4 * DIM).count() == 0
+
+
+@pytest.mark.parametrize("size", [1.0, 1e20])
+def test_short_lists_of_codes(monkeypatch, size):
+    """A short list left a task for each list that a question probes; now there is one, the same however blocks are cut."""
+    import pyarrow as pa
+
+    from shelfmark.operators import pq as module
+
+    rng = np.random.default_rng(6)
+    centers, books = rng.normal(size=(3, 6)) * size, rng.normal(size=(3, 5, 2)) * size
+    lists, at, codes = np.array([2, 5, 9]), np.array([2, 5, 9])[rng.integers(0, 3, 90)], rng.integers(0, 5, (90, 3)).astype(np.uint8)
+    ids = np.arange(90) // 2 * 2  # ids come twice
+    vectors = (rng.normal(size=(12, 6)) * size).astype(np.float32)
+    probed = [[2, 5], [9], [5, 5, 9], [2, 5, 9]] * 3  # a list named twice counts twice
+    asked = np.arange(12) // 2  # so do questions
+    left = pa.table({"query_id": asked, "qv": pa.array(vectors.tolist(), pa.list_(pa.float32())), "lists": pa.array(probed, pa.list_(pa.int64()))})
+    right = pa.table({"list_id": at, "id": ids, "code": pa.array([c.tobytes() for c in codes], pa.binary())})
+    expected = {}
+    for q, names in enumerate(probed):
+        for name in names:
+            gap = (vectors[q].astype(float) - centers[np.searchsorted(lists, name)]).reshape(3, 2)
+            for r in np.flatnonzero(at == name):
+                d = np.round(((gap - books[np.arange(3), codes[r]]) ** 2).sum(1).sum(), 6)
+                expected.setdefault(int(asked[q]), []).append((d, int(ids[r])))
+    for limits in ({}, {"_HELD": 10, "_BLOCK_ROWS": 8, "_CELLS": 64}):
+        for name, value in limits.items():
+            monkeypatch.setattr(module, name, value)
+        for most in (4, 25, 1_000):
+            got = module._short_lists(left, right, lists, centers, books, 3, "l2", most).to_pylist()
+            for q, pairs in expected.items():
+                mine = sorted((r["d"], r["id"]) for r in got if r["query_id"] == q)
+                theirs = sorted(pairs)[:most]
+                assert np.allclose([d for d, _ in mine], [d for d, _ in theirs], rtol=1e-12) and (size > 1 or [i for _, i in mine] == [i for _, i in theirs])
